@@ -35,7 +35,9 @@ def ascii_fold(text: Column) -> Column:
     """Compatibility-decompose and drop what is not ASCII ('São' -> 'Sao', '½' -> '12')."""
     single, several = _ascii_folds()
     folded = F.translate(text, "".join(single), "".join(single.values()))
-    lookup = F.create_map(*[F.lit(part) for pair in several.items() for part in pair])
+    # one foldable literal, not a thousand
+    pairs = "\x01".join(f"{char}\x02{spelling}" for char, spelling in several.items())
+    lookup = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
     spelled = F.array_join(
         F.transform(
             F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0)),
@@ -43,7 +45,9 @@ def ascii_fold(text: Column) -> Column:
         ),
         "",
     )
-    folded = F.when(folded.rlike("[" + "".join(several) + "]"), spelled).otherwise(folded)
+    # deleting them is a far quicker test than a character class of this length
+    has_several = F.translate(folded, "".join(several), "") != folded
+    folded = F.when(has_several, spelled).otherwise(folded)
     return F.when(text.rlike(NON_ASCII), F.regexp_replace(folded, NON_ASCII, "")).otherwise(text)
 
 
@@ -54,7 +58,7 @@ def normalize_name(name: Column) -> Column:
     trimming and before folding, so three blanks leave two.
     """
     cleaned = F.replace(F.upper(name), F.lit(NAME_NOISE), F.lit(""))
-    cleaned = F.translate(cleaned, NAME_PUNCTUATION, "")
+    cleaned = F.regexp_replace(cleaned, f"[{NAME_PUNCTUATION}]", "")
     cleaned = F.btrim(cleaned, F.lit(UNICODE_SPACES))
     cleaned = F.replace(cleaned, F.lit("  "), F.lit(" "))
     return ascii_fold(cleaned)

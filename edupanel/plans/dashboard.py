@@ -172,16 +172,19 @@ def context_dense(context: DataFrame, segment: str, labels: Sequence[str]) -> Da
 
 # --- history, scatter, detail --------------------------------------------------------------
 def history_series(
-    panel: DataFrame, names: Sequence[str], indicator: str, highlight_year: int | None = None,
-    ids: Sequence[str] | None = None,
+    panel: DataFrame, names: Sequence[str] | DataFrame, indicator: str,
+    highlight_year: int | None = None, by: str = NAME,
 ) -> DataFrame:
-    """Indicator by year for the chosen places.
+    """Indicator by year for the chosen places, given as a list or as a frame of names.
 
-    Places are chosen by name, so places of the same name in other states come along; give
-    ``ids`` to choose exactly.
+    Places are chosen by name, so places of the same name in other states come along; choose
+    ``by="id_municipio"`` to tell them apart.
     """
-    chosen = F.col(NAME).isin(*names) if ids is None else F.col("id_municipio").isin(*ids)
-    rows = panel.where(chosen).na.drop(subset=[indicator])
+    rows = panel.na.drop(subset=[indicator])
+    if isinstance(names, DataFrame):
+        rows = rows.join(names.select(by), by, "left_semi")
+    else:
+        rows = rows.where(F.col(by).isin(*names) if names else F.lit(False))
     highlight = F.lit(False) if highlight_year is None else F.col("ano") == highlight_year
     return rows.select("ano", NAME, indicator, highlight.alias("destaque"))
 
