@@ -46,7 +46,7 @@ def ascii_fold(text: Column) -> Column:
         "",
     )
     # deleting them is a far quicker test than a character class of this length
-    has_several = F.translate(folded, "".join(several), "") != folded
+    has_several = F.translate(text, "".join(several), "") != text
     folded = F.when(has_several, spelled).otherwise(folded)
     return F.when(text.rlike(NON_ASCII), F.regexp_replace(folded, NON_ASCII, "")).otherwise(text)
 

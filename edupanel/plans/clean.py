@@ -1,6 +1,6 @@
 """Cleaning jobs: one raw table in, one treated table out.
 
-Raw fields are text as scanned; a measure that already is numeric is taken as it is.
+Raw fields are text as scanned; a key or measure that already is a number is taken as it is.
 """
 
 from __future__ import annotations
@@ -23,12 +23,21 @@ def measure(df: DataFrame, name: str) -> Column:
     return nan_to_null(F.col(name).cast("double"))
 
 
+def key(df: DataFrame, name: str) -> Column:
+    """A whole-number key as LONG."""
+    if dict(df.dtypes)[name] in ("int", "bigint"):
+        return F.col(name).cast("long")
+    return parse_key(F.col(name))
+
+
 def clean_territory(raw: DataFrame, order: Sequence[str] = ("_row",)) -> DataFrame:
     """One row per municipality, the first of the file."""
     named = raw.withColumnsRenamed(C.TERRITORY_NAMES)
-    keyed = named.withColumn("id_municipio", parse_key(F.col("id_municipio")))
+    keyed = named.withColumns(
+        {"id_municipio": key(named, "id_municipio"), "id_uf": key(named, "id_uf").cast("int")}
+    )
     return dedup_keep_first(keyed, ["id_municipio"], order).select(
-        parse_key(F.col("id_uf")).cast("int").alias("id_uf"),
+        "id_uf",
         "nome_uf",
         "nome_rgi",
         "id_municipio",
@@ -44,7 +53,7 @@ def clean_score(
     named = raw.withColumnsRenamed({**C.SCORE_NAMES, **yearly})
     public = drop_null_keys(named.where(F.col("rede") == network), ["id_municipio"])
     wide = public.select(
-        parse_key(F.col("id_municipio")).alias("id_municipio"),
+        key(public, "id_municipio").alias("id_municipio"),
         normalize_name(F.col("nome_municipio")).alias("nome_municipio_formatado"),
         *[measure(public, name).alias(name) for name in yearly.values()],
     )
@@ -90,7 +99,7 @@ def clean_gdp_base(raw: DataFrame) -> DataFrame:
     typed = named.select(
         F.col("ano").cast("int").alias("ano"),
         "regiao",
-        parse_key(F.col("id_municipio")).alias("id_municipio"),
+        key(named, "id_municipio").alias("id_municipio"),
         "sg_uf",
         lenient("pib_mil_reais").alias("pib_mil_reais"),
         lenient("pib_per_capita").alias("pib_per_capita"),
@@ -118,7 +127,7 @@ def clean_distortion(raw: DataFrame, network: str = C.PUBLIC_NETWORK) -> DataFra
     named = raw.withColumnsRenamed(C.DISTORTION_NAMES)
     public = named.where(F.col("rede") == network)
     rows = public.select(
-        parse_key(F.col("id_municipio")).alias("id_municipio"),
+        key(public, "id_municipio").alias("id_municipio"),
         F.col("ano").cast("int").alias("ano"),
         normalize_name(F.col("nome_municipio")).alias("nome_municipio_formatado"),
         "_source",

@@ -243,7 +243,7 @@ ORACLE: dict[str, str] = {
               FROM orders GROUP BY 1, 2) o
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
-    "filter_network": sql("""SELECT CAST(o_custkey AS VARCHAR) AS CO_MUNICIPIO,
+    "filter_network": sql("""SELECT o_custkey AS CO_MUNICIPIO,
         'Município nº ' || o_custkey AS NO_MUNICIPIO, 'Pública' AS REDE,
         max(best) FILTER (ano = 1995) AS VL_OBSERVADO_1995,
         max(best) FILTER (ano = 1997) AS VL_OBSERVADO_1997,
@@ -288,7 +288,7 @@ ORACLE: dict[str, str] = {
     "band_quartile_category": sql(
         "SELECT id_municipio, ano, categoria_pib FROM explored", "explored"),
     # reshape, sets, keys
-    "melt_years": sql("""SELECT CAST(k.o_custkey AS VARCHAR) AS CO_MUNICIPIO,
+    "melt_years": sql("""SELECT k.o_custkey AS CO_MUNICIPIO,
         CASE k.o_orderstatus WHEN 'F' THEN 'Pública' WHEN 'O' THEN 'Municipal'
              ELSE 'Estadual' END AS REDE, CAST(y.ano AS INTEGER) AS ano, b.best AS ideb_nota
         FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM score_best) k
@@ -300,8 +300,7 @@ ORACLE: dict[str, str] = {
         WHERE ano = (SELECT max(ano) FROM gdp_base)""", "gdp_base"),
     "union_years": """SELECT c_nationkey AS uf, round(c_acctbal, -3) AS valor FROM customer
         UNION ALL SELECT s_nationkey, round(s_acctbal, -3) FROM supplier""",
-    "dedup_keep_first": sql("""SELECT CAST(id_municipio AS VARCHAR) AS id_municipio, nome_rgi,
-        _row FROM territory""", "territory"),
+    "dedup_keep_first": sql("""SELECT id_municipio, nome_rgi, _row FROM territory""", "territory"),
     "unique_keys": sql("""SELECT count(*) AS keys, count(*) FILTER (n > 1) AS duplicate_keys,
         CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS duplicate_rows
         FROM (SELECT c_custkey, count(*) AS n FROM raw_territory GROUP BY 1)""",

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edupanel import config as C
 from edupanel.operators import replicate_forward
@@ -26,8 +27,16 @@ GDP_TOTAL = "Produto Interno Bruto, \na preços correntes\n(R$ 1.000)"
 GDP_PER_CAPITA = "Produto Interno Bruto per capita, \na preços correntes\n(R$ 1,00)"
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the test tables; its schema is taken from the files once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def orders(spark, sf_dir) -> DataFrame:
@@ -80,7 +89,7 @@ def raw_score(spark, sf_dir) -> DataFrame:
     )
     name = F.format_string("Município nº %d", F.col("o_custkey"))
     return wide.select(
-        F.col("o_custkey").cast("string").alias("CO_MUNICIPIO"),
+        F.col("o_custkey").alias("CO_MUNICIPIO"),
         name.alias("NO_MUNICIPIO"),
         "REDE",
         *[f"VL_OBSERVADO_{y}" for y in SCORE_YEARS],
@@ -111,27 +120,33 @@ def raw_projects(spark, sf_dir) -> DataFrame:
 
 def raw_territory(spark, sf_dir) -> DataFrame:
     """Two editions of the list of places; the later one names places a second time."""
-    open_orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "O")
-
-    def edition(chosen: DataFrame, region_name, first_row: int) -> DataFrame:
-        known = chosen.select(F.col("o_custkey").alias("c_custkey")).distinct()
-        return (
-            places(spark, sf_dir)
-            .join(known, "c_custkey", "left_semi")
-            .select(
-                F.col("n_nationkey").cast("string").alias("UF"),
-                F.col("n_name").alias("Nome_UF"),
-                region_name.alias("Nome Região Geográfica Imediata"),
-                F.col("c_custkey").cast("string").alias("Código Município Completo"),
-                F.col("c_name").alias("Nome_Município"),
-                (F.col("c_custkey") + first_row).alias("_row"),
-            )
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    known = (
+        table(spark, sf_dir, "orders")
+        .where(F.col("o_orderstatus") == "O")
+        .groupBy("o_custkey")
+        .agg(F.max(urgent).alias("in_first"))
+    )
+
+    def edition(region_name, first_row: int):
+        return F.struct(
+            region_name.alias("Nome Região Geográfica Imediata"),
+            (F.col("c_custkey") + first_row).alias("_row"),
         )
 
-    urgent = open_orders.where(F.col("o_orderpriority") == "1-URGENT")
-    early = edition(urgent, F.col("c_mktsegment"), 0)
-    late = edition(open_orders, F.lower("c_mktsegment"), 10**15)
-    return late.unionByName(early)
+    second = edition(F.lower("c_mktsegment"), 10**15)
+    both = F.array(second, edition(F.col("c_mktsegment"), 0))
+    return (
+        places(spark, sf_dir)
+        .join(known, F.col("c_custkey") == F.col("o_custkey"))
+        .select(
+            F.col("n_nationkey").alias("UF"),
+            F.col("n_name").alias("Nome_UF"),
+            F.col("c_custkey").alias("Código Município Completo"),
+            F.col("c_name").alias("Nome_Município"),
+            F.inline(F.when(F.col("in_first"), both).otherwise(F.array(second))),
+        )
+    )
 
 
 def raw_distortion(spark, sf_dir) -> DataFrame:
@@ -153,7 +168,7 @@ def raw_distortion(spark, sf_dir) -> DataFrame:
     counted = orders(spark, sf_dir).where(F.col("ano").isin(*DISTORTION_YEARS))
     return rates.join(counted, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("ano").alias("NU_ANO_CENSO"),
-        F.col("o_custkey").cast("string").alias("CO_MUNICIPIO"),
+        F.col("o_custkey").alias("CO_MUNICIPIO"),
         F.format_string("Município nº %d", F.col("o_custkey")).alias("NO_MUNICIPIO"),
         network.alias("NO_DEPENDENCIA"),
         "FUN_CAT_0",
