@@ -17,14 +17,15 @@ def join_panel(
 
     The right sides are aggregated or de-duplicated before they get here. No side is
     broadcast by hint: Spark does so once statistics or the finished shuffle show that it
-    is small. Score and distortion follow each other since both use (id, year): with large
-    sides the panel is shuffled once for the two.
+    is small. Neighbouring joins use different keys. Two joins on (id, year) in a row would
+    save one shuffle of the panel, but adaptive execution splits a skewed join only where a
+    shuffle follows, and a key may hold a large share of the rows.
     """
     key = ["id_municipio", "ano"]
     joined = (
         gdp.join(score.drop("nome_municipio_formatado"), key, "left")
-        .join(distortion.drop("nome_municipio_formatado"), key, "left")
         .join(territory.drop("nome_municipio_formatado"), "id_municipio", "left")
+        .join(distortion.drop("nome_municipio_formatado"), key, "left")
     )
     return join_projects(joined, projects).select(*C.PANEL_COLUMNS)
 

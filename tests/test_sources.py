@@ -1,0 +1,180 @@
+import json
+
+import pytest
+import workbook
+from pyspark.sql import functions as F
+
+from edupanel import config as C
+from edupanel.session import new_path, shared_dir, stage
+from edupanel.sources import (
+    MissingColumnsError,
+    MissingSourceError,
+    read_geojson,
+    read_table,
+    scan_table,
+    write_csv,
+    write_table,
+)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# --- sheets ------------------------------------------------------------------------------
+def test_csv_below_notes_in_many_ranges(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    lines = ["note, one", 'note "two', "id,name,skip"]
+    lines += [f"{n},São {n},x" for n in range(1000)]
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    found = {}
+    for size in (37, 4096, 1 << 20):
+        raw = scan_table(spark, "t", str(path), ["name", "id"], "sheet", skip_rows=2, splitBytes=str(size))
+        assert raw.columns == ["name", "id", "_row", "_source", "_sheet"]
+        found[size] = raw.orderBy("_row").collect()
+        assert [(r.name, r.id) for r in found[size]] == [(f"São {n}", str(n)) for n in range(1000)]
+    assert raw.rdd.getNumPartitions() == 1
+    first = found[37][0]
+    assert first._source.endswith("t.csv") and first._sheet is None
+
+
+def test_csv_without_last_line_break_and_with_mark(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_bytes(b"\xef\xbb\xbfid;v\r\n1;\r\n2;b")
+    raw = scan_table(spark, "t", str(path), ["id", "v"], "sheet", sep=";")
+    assert rows(raw.select("id", "v")) == [("1", ""), ("2", "b")]
+
+
+def test_header_names_may_hold_line_breaks(spark, tmp_path):
+    path = tmp_path / "gdp.csv"
+    header = ",".join('"' + name.replace('"', '""') + '"' for name in C.GDP_NAMES)
+    path.write_text(header + "\n2021,NE,1,Patos,PB,-,10\n", encoding="utf-8")
+    tokens = C.DEFAULT_NA_TOKENS + C.DASH_NA_TOKENS
+    raw = scan_table(spark, "gdp", str(path), list(C.GDP_NAMES), "sheet", na_tokens=tokens)
+    assert tuple(raw.first())[:7] == ("2021", "NE", "1", "Patos", "PB", None, "10")
+
+
+def test_several_files_by_list_folder_and_pattern(spark, tmp_path):
+    for year in (2019, 2020):
+        (tmp_path / f"rates_{year}.csv").write_text(f"note\nano,v\n{year},1\n")
+    (tmp_path / "other.csv").write_text("note\nano,v\n1,1\n")
+    named = [str(tmp_path / f"rates_{y}.csv") for y in (2019, 2020)]
+    for paths in (named, str(tmp_path / "rates_*.csv"), "file:" + str(tmp_path / "rates_*.csv")):
+        raw = scan_table(spark, "rates", paths, ["ano"], "sheet", skip_rows=1)
+        assert rows(raw.select("ano")) == [("2019",), ("2020",)]
+        assert raw.rdd.getNumPartitions() == 2
+    assert scan_table(spark, "rates", str(tmp_path), ["ano"], "sheet", skip_rows=1).count() == 3
+
+
+def test_workbook_sheets(spark, tmp_path):
+    path = str(tmp_path / "p.xlsx")
+    workbook.write(path, {
+        "2020": [["notes"], [], ["CIDADES", "x", "n"], ["Patos", 9, 1], [None, None, None], ["Natal", 9, 2.5]],
+        "2021": [["notes"], [], ["CIDADES", "x", "n"], ["Olinda & Recife", 9, None]],
+        "2019": [["CIDADES"]],
+    })
+    raw = scan_table(spark, "projects", path, ["n", "CIDADES"], "sheet", skip_rows=2,
+                     sheets_named=["2020", "2021"])
+    assert raw.rdd.getNumPartitions() == 2
+    assert [tuple(r) for r in raw.orderBy("_sheet", "_row").select("n", "CIDADES", "_sheet", "_row").collect()] == [
+        ("1", "Patos", "2020", 4), (None, None, "2020", 5), ("2.5", "Natal", "2020", 6),
+        (None, "Olinda & Recife", "2021", 4),
+    ]
+    first = scan_table(spark, "projects", path, ["CIDADES"], "sheet", skip_rows=2)
+    assert first.count() == 3
+    with pytest.raises(Exception, match="has no sheet 2030"):
+        scan_table(spark, "projects", path, ["CIDADES"], "sheet", sheets_named=["2030"]).collect()
+
+
+def test_missing_columns_and_files(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id\n1\n")
+    with pytest.raises(Exception, match="lacks the columns"):
+        scan_table(spark, "t", str(tmp_path / "t.csv"), ["id", "v"], "sheet").collect()
+    for fmt in ("sheet", "csv", "parquet"):
+        with pytest.raises(MissingSourceError, match="dtb"):
+            scan_table(spark, "dtb", str(tmp_path / "none"), ["id"], fmt)
+    with pytest.raises(MissingSourceError, match="panel"):
+        read_table(spark, "panel", str(tmp_path / "none"))
+    spark.range(1).write.parquet(str(tmp_path / "p"))
+    with pytest.raises(MissingColumnsError):
+        scan_table(spark, "t", str(tmp_path / "p"), ["id", "v"])
+
+
+def test_landing_zone(spark, tmp_path):
+    path = str(tmp_path / "p")
+    data = [("1", "-", 5, "2020"), ("2", "x", 6, "2021"), ("3", "NA", 7, "2030")]
+    spark.createDataFrame(data, "id string, v string, _row long, _sheet string").write.parquet(path)
+    raw = scan_table(spark, "t", path, ["id", "v"], sheets_named=["2020", "2021"], na_tokens=("-",))
+    assert rows(raw.select("id", "v", "_row", "_sheet")) == [
+        ("1", None, 5, "2020"), ("2", "x", 6, "2021")
+    ]
+
+
+# --- GeoJSON -----------------------------------------------------------------------------
+FEATURES = [
+    {"type": "Feature", "properties": {"id": str(i), "name": "Água, [x]"},
+     "geometry": {"type": "Point", "coordinates": [i, -8.5]}}
+    for i in range(3)
+]
+EXPECTED = [(str(i), '{"type":"Point","coordinates":[%d,-8.5]}' % i) for i in range(3)]
+
+
+def test_geojson_document(spark, tmp_path):
+    path = tmp_path / "m.json"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": FEATURES}, indent=1))
+    found = read_geojson(spark, str(path))
+    assert [(r.id, r.geometry.replace(" ", "").replace("\n", "")) for r in found.collect()] == EXPECTED
+
+
+@pytest.mark.parametrize("framed", [False, True])
+def test_geojson_one_feature_per_line(spark, tmp_path, framed):
+    lines = [json.dumps(f, ensure_ascii=False, separators=(",", ":")) for f in FEATURES]
+    text = "\n".join(lines)
+    if framed:
+        text = '{"type": "FeatureCollection",\n"features": [\n' + ",\n".join(lines) + "\n]\n}\n"
+    path = tmp_path / "m.json"
+    path.write_text(text)
+    assert rows(read_geojson(spark, str(path), "lines")) == EXPECTED
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_geojson_in_another_layout_fails(spark, tmp_path, indent):
+    path = tmp_path / "m.json"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": FEATURES}, indent=indent))
+    with pytest.raises(Exception, match="not one feature per line|MALFORMED"):
+        read_geojson(spark, str(path), "lines").collect()
+
+
+def test_geojson_is_optional(spark, tmp_path):
+    assert read_geojson(spark, str(tmp_path / "none"), required=False) is None
+    with pytest.raises(MissingSourceError):
+        read_geojson(spark, str(tmp_path / "none"))
+
+
+# --- sinks -------------------------------------------------------------------------------
+def test_csv_export_text(spark, tmp_path):
+    df = spark.createDataFrame(
+        [('A "b", c', None, 12345678.9, 0.0)], "nome string, uf string, pop double, n double"
+    )
+    write_csv(df.coalesce(1), str(tmp_path / "out"))
+    part = next((tmp_path / "out").glob("part-*.csv"))
+    assert part.read_text(encoding="utf-8") == 'nome,uf,pop,n\n"A ""b"", c",,12345678.9,0.0\n'
+
+
+def test_table_round_trip_overwrites(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (5, 3):
+        df = spark.range(n).select("id", (F.col("id") % 2 + 2020).cast("int").alias("ano"), F.lit("x").alias("v"))
+        write_table(df, path, partition_by="ano")
+    back = read_table(spark, "t", path, df.schema)
+    assert back.columns == ["id", "ano", "v"] and rows(back) == rows(df)
+    assert sorted(p.name for p in (tmp_path / "t").glob("ano=*")) == ["ano=2020", "ano=2021"]
+
+
+def test_staged_tables_lie_in_the_shared_folder(spark):
+    assert new_path(spark, "x").startswith(shared_dir(spark))
+    assert new_path(spark, "x") != new_path(spark, "x")
+    df = stage(spark.range(10).select("id", F.lit(2020).alias("ano")), "t", partition_by="ano")
+    assert df.count() == 10
+    folder = shared_dir(spark).rsplit("/", 1)[-1]
+    assert all(f"/{folder}/t-" in f for f in df.inputFiles())

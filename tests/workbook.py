@@ -1,0 +1,48 @@
+"""Writes small .xlsx files for the tests."""
+
+import zipfile
+from xml.sax.saxutils import escape
+
+MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
+
+
+def letters(n):
+    text = ""
+    while n:
+        n, rest = divmod(n - 1, 26)
+        text = chr(65 + rest) + text
+    return text
+
+
+def write(path, sheets, skip_empty=True):
+    """``sheets``: {name: rows}; texts go to the shared strings, None is an absent cell."""
+    shared, entries = {}, {}
+    for name, rows in sheets.items():
+        lines = []
+        for r, row in enumerate(rows, 1):
+            cells = []
+            for c, value in enumerate(row, 1):
+                if value is None:
+                    continue
+                ref = f"{letters(c)}{r}"
+                if isinstance(value, str):
+                    n = shared.setdefault(value, len(shared))
+                    cells.append(f'<c r="{ref}" t="s"><v>{n}</v></c>')
+                else:
+                    cells.append(f'<c r="{ref}"><v>{value}</v></c>')
+            if cells or not skip_empty:
+                lines.append(f'<row r="{r}">{"".join(cells)}</row>')
+        entries[name] = f'<worksheet xmlns="{MAIN}"><sheetData>{"".join(lines)}</sheetData></worksheet>'
+    with zipfile.ZipFile(path, "w") as book:
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{MAIN}" xmlns:r="{OFFICE}"><sheets>' + "".join(
+            f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(entries, 1)
+        ) + "</sheets></workbook>")
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{PACKAGE}">' + "".join(
+            f'<Relationship Id="rId{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(entries) + 1)
+        ) + "</Relationships>")
+        for i, text in enumerate(entries.values(), 1):
+            book.writestr(f"xl/worksheets/sheet{i}.xml", text)
+        items = "".join(f"<si><t>{escape(t)}</t></si>" for t in shared)
+        book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">{items}</sst>')
