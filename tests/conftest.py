@@ -14,7 +14,7 @@ def spark():
         "spark.sql.shuffle.partitions": "8",
         # whole plan texts for the plan tests
         "spark.sql.debug.maxToStringFields": "1000",
-        "spark.sql.maxMetadataValueLength": "10000",
+        "spark.sql.maxMetadataStringLength": "10000",
     }
     session = get_spark("tests", "local[*]", **settings)
     session.sparkContext.setLogLevel("ERROR")
