@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
-CELLS_PER_OCTAVE = 4
+# number of a cell, never decreasing with v: quarter octaves on either side of 0
+OCTAVE_CELL = """CAST(signum(v) * CASE WHEN v = 0 THEN 0 WHEN abs(v) = double('inf') THEN 1000000
+    ELSE floor(log2(abs(v)) * 4) + 4400 END AS INT)"""
 SPLITS = 4096
 # rows whose values may be returned to the driver; beyond it the cells are split again
 DIRECT_ROWS = 200_000
@@ -49,9 +51,9 @@ def exact_quantiles(
     An action, like ``DataFrame.approxQuantile``; all columns share each pass. A column
     without values yields None.
     """
-    values = [F.col(c).cast("double") for c in columns]
+    values = [f"CAST({_name(c)} AS DOUBLE)" for c in columns]
     counted = {i: [] for i in range(len(columns))}
-    by_octave = _stacked(df, values).groupBy("c", _log_cell(F.col("v")).alias("part"))
+    by_octave = _stacked(df, values).groupBy("c", F.expr(OCTAVE_CELL).alias("part"))
     for i, _, *cell in by_octave.agg(F.min("v"), F.max("v"), F.count("v")).collect():
         counted[i].append(cell)
     cells = {i: _accumulate(found, 0) for i, found in counted.items()}
@@ -87,7 +89,7 @@ def approximate_quantiles(
     accuracy: int = 10_000,
 ) -> dict[str, list[float] | None]:
     """One-pass sketch: values with a rank error of up to rows/accuracy, not interpolated."""
-    values = [F.when(~F.isnan(c), F.col(c).cast("double")) for c in columns]
+    values = [F.when(~F.isnan(_name(c)), F.col(_name(c)).cast("double")) for c in columns]
     wanted = [F.percentile_approx(v, list(probabilities), accuracy) for v in values]
     return dict(zip(columns, df.agg(*wanted).first()))
 
@@ -123,36 +125,38 @@ def quantile_bands(
             if on_duplicate_edges == "skip":
                 continue
             raise DuplicateEdgesError(f"{column}: edges {cut} do not form {len(labels)} bands")
-        added[out] = _band(F.col(column), cut, [F.lit(v) for v in labels])
-        added[f"{out}_ord"] = _band(F.col(column), cut, [F.lit(k + 1) for k in range(len(labels))])
+        added[out] = _band(column, cut, [_text(label) for label in labels])
+        added[f"{out}_ord"] = _band(column, cut, [str(k + 1) for k in range(len(labels))])
     return df.withColumns(added) if added else df
 
 
-def _band(value: Column, edges: Sequence[float], results: Sequence[Column]) -> Column:
-    band = F.when(value <= edges[1], results[0])
-    for edge, result in zip(edges[2:-1], results[1:-1]):
-        band = band.when(value <= edge, result)
-    return band.when(value <= edges[-1], results[-1])
+# Expressions are put together as SQL text: one call to the JVM instead of one per operator.
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
-def _stacked(df: DataFrame, values: Sequence[Column], cell: Sequence[Column] = ()) -> DataFrame:
-    """(c, v) rows for all columns; with ``cell`` also the number of the open cell."""
-    items = [
-        F.struct(
-            F.lit(i).alias("c"), v.alias("v"), *([cell[i].alias("cell")] if cell else [])
-        )
-        for i, v in enumerate(values)
+def _number(value: float) -> str:
+    return f"double('{value!r}')"
+
+
+def _text(label: str) -> str:
+    return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _band(column: str, edges: Sequence[float], results: Sequence[str]) -> Column:
+    cases = [
+        f"WHEN {_name(column)} <= {_number(edge)} THEN {result}"
+        for edge, result in zip(edges[1:], results)
     ]
-    rows = df.select(F.inline(F.array(*items))).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    return rows.where(F.col("cell").isNotNull()) if cell else rows
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
-def _log_cell(value: Column) -> Column:
-    """Cell number that never decreases with the value: quarter octaves on either side of 0."""
-    size = F.abs(value)
-    octave = F.floor(F.log2(size) * CELLS_PER_OCTAVE) + 1100 * CELLS_PER_OCTAVE
-    distance = F.when(size == 0, 0).when(size == float("inf"), 1_000_000).otherwise(octave)
-    return F.when(value < 0, -distance).otherwise(distance).cast("int")
+def _stacked(df: DataFrame, values: Sequence[str], cells: Sequence[str] = ()) -> DataFrame:
+    """(c, v) rows for all columns; with ``cells`` also the number of the open cell."""
+    extra = [f", {cell} AS cell" for cell in cells] or [""] * len(values)
+    items = [f"struct({i} AS c, {v} AS v{more})" for i, (v, more) in enumerate(zip(values, extra))]
+    rows = df.selectExpr(f"inline(array({', '.join(items)}))")
+    return rows.where("v IS NOT NULL AND NOT isnan(v)" + (" AND cell IS NOT NULL" if cells else ""))
 
 
 def _accumulate(cells: list, below: int) -> list[_Cell]:
@@ -172,27 +176,29 @@ def _accumulate(cells: list, below: int) -> list[_Cell]:
 
 
 def _refine(
-    df: DataFrame, values: Sequence[Column], open_cells: dict[int, list[_Cell]], direct: bool
+    df: DataFrame, values: Sequence[str], open_cells: dict[int, list[_Cell]], direct: bool
 ) -> dict[int, list[_Cell]]:
     """Split every open cell, or list its values when all of them are few."""
-    number = [F.lit(None).cast("int")] * len(values)
-    low = high = F.lit(None).cast("double")
-    wanted = F.lit(False)
-    for i, found in open_cells.items():
-        for n, cell in enumerate(found):
-            inside = (values[i] >= cell.low) & (values[i] <= cell.high)
-            number[i] = F.when(inside, n).otherwise(number[i])
-            here = (F.col("c") == i) & (F.col("cell") == n)
-            low = F.when(here, cell.low).otherwise(low)
-            high = F.when(here, cell.high).otherwise(high)
-            wanted = wanted | inside
-    rows = _stacked(df.where(wanted), values, number)
+    numbered = [(i, n, c) for i, found in open_cells.items() for n, c in enumerate(found)]
+    ranges = [
+        f"{values[i]} BETWEEN {_number(c.low)} AND {_number(c.high)}" for i, _, c in numbered
+    ]
+    cells = []
+    for k in range(len(values)):
+        whens = [f"WHEN {r} THEN {n}" for r, (i, n, _) in zip(ranges, numbered) if i == k]
+        cells.append(f"CASE {' '.join(whens)} END" if whens else "CAST(NULL AS INT)")
+    rows = _stacked(df.where(" OR ".join(ranges)), values, cells)
     if direct:
         listed = rows.groupBy("c", "cell", "v").agg(F.count(F.lit(1)).alias("n")).toArrow()
         split = [(r["c"], r["cell"], r["v"], r["v"], r["n"]) for r in listed.to_pylist()]
     else:
-        step = F.floor((F.col("v") - low) / (high - low) * SPLITS)
-        grouped = rows.groupBy("c", "cell", F.least(step, F.lit(SPLITS - 1)).alias("part"))
+        shares = [
+            f"WHEN c = {i} AND cell = {n} "
+            f"THEN (v - {_number(c.low)}) / {_number(c.high - c.low)}"
+            for i, n, c in numbered
+        ]
+        part = F.expr(f"least(floor(CASE {' '.join(shares)} END * {SPLITS}), {SPLITS - 1})")
+        grouped = rows.groupBy("c", "cell", part.alias("part"))
         found = grouped.agg(F.min("v"), F.max("v"), F.count("v")).collect()
         split = [(r[0], r[1], *r[-3:]) for r in found]
     parts: dict[tuple[int, int], list] = {}

@@ -191,7 +191,8 @@ def projects(spark, sf_dir) -> DataFrame:
 
 
 def gdp_base(spark, sf_dir) -> DataFrame:
-    return clean.clean_gdp_base(raw_gdp(spark, sf_dir))
+    """Cleaned GDP rows, staged: finding the last year must not compute them again."""
+    return stage(clean.clean_gdp_base(raw_gdp(spark, sf_dir)), "gdp-base")
 
 
 def gdp(spark, sf_dir) -> DataFrame:
@@ -203,10 +204,9 @@ def distortion(spark, sf_dir) -> DataFrame:
 
 
 def build(spark, sf_dir) -> DataFrame:
-    """The panel straight from the tables; the GDP base is staged so it is computed once."""
-    base = stage(gdp_base(spark, sf_dir), "gdp-base")
+    """The panel straight from the tables."""
     return panel.join_panel(
-        replicate_forward(base, target_years=REPLICATED_YEARS),
+        gdp(spark, sf_dir),
         score(spark, sf_dir),
         territory(spark, sf_dir),
         projects(spark, sf_dir),
