@@ -42,6 +42,12 @@ class _Cell:
     def holds(self, rank: int) -> bool:
         return self.below <= rank < self.below + self.rows
 
+    def value(self, rank: int) -> float | None:
+        """The value at ``rank`` where the ends of the cell give it away."""
+        if rank == self.below or self.low == self.high:
+            return self.low
+        return self.high if rank == self.below + self.rows - 1 else None
+
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES
@@ -62,19 +68,17 @@ def exact_quantiles(
     known: dict[tuple[int, int], float] = {}
 
     while True:
-        open_cells = {
-            i: [c for c in found if c.low < c.high and any(c.holds(r) for r in ranks[i])]
-            for i, found in cells.items()
-        }
+        open_cells: dict[int, list[_Cell]] = {}
         for i, found in cells.items():
-            for rank in ranks[i]:
-                cell = next((c for c in found if c.holds(rank)), None)
-                if cell is not None and cell.low == cell.high:
-                    known[i, rank] = cell.low
-        pending = [c for found in open_cells.values() for c in found]
+            for cell in found:
+                held = {rank: cell.value(rank) for rank in ranks[i] if cell.holds(rank)}
+                known.update({(i, rank): v for rank, v in held.items() if v is not None})
+                if None in held.values():
+                    open_cells.setdefault(i, []).append(cell)
+        pending = sum(c.rows for found in open_cells.values() for c in found)
         if not pending:
             break
-        cells = _refine(df, values, open_cells, sum(c.rows for c in pending) <= DIRECT_ROWS)
+        cells = _refine(df, values, open_cells, direct=pending <= DIRECT_ROWS)
 
     return {
         name: [_interpolate(known, i, sizes[i], p) for p in probabilities] if sizes[i] else None
