@@ -37,8 +37,10 @@ def parse_number(text: Column, name: str) -> Column:
 
 
 def parse_key(text: Column) -> Column:
-    """Whole-number key as LONG, also from '3550308.0'; fractions are cut off."""
-    return text.cast("decimal(38,4)").cast("long")
+    """Whole-number key as LONG, also from '3550308.0'; other text fails the job."""
+    key = text.try_cast("decimal(38,4)").cast("long")
+    broken = F.raise_error(F.concat(F.lit("not a key: "), text)).cast("long")
+    return F.when(text.isNotNull() & key.isNull(), broken).otherwise(key)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -32,7 +32,7 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     if re.match(r"file:/(?!/)", path):
         path = "file://" + path[len("file:"):]
     if "://" in path:
-        return pafs.FileSystem.from_uri(path)
+        return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
     return pafs.LocalFileSystem(), path
 
 

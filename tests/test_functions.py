@@ -94,6 +94,8 @@ def test_parse_number_fails_on_text(spark, values):
 def test_parse_key(values):
     keys = ["3550308", "3550308.0", "9007199254740993", None]
     assert values(parse_key, keys) == [3550308, 3550308, 9007199254740993, None]
+    with pytest.raises(Exception, match="not a key: Fonte"):
+        values(parse_key, ["Fonte: censo"])
 
 
 def test_ratio(spark):

@@ -4,7 +4,6 @@ import csv
 from dataclasses import replace
 
 import pytest
-import workbook
 
 from edupanel import config as C
 from edupanel.plans import dashboard as D
@@ -12,6 +11,7 @@ from edupanel.plans import exploration as X
 from edupanel.plans import job
 from edupanel.plans import panel as P
 from edupanel.sources import MissingSourceError
+from workload import workbooks
 
 OUTPUTS = [
     C.TABLE_TERRITORY, C.TABLE_SCORE, C.TABLE_PROJECTS, C.TABLE_GDP, C.TABLE_DISTORTION,
@@ -46,7 +46,7 @@ def raw(tmp_path_factory):
     (base / "projects").mkdir()
     sheet = [list(C.PROJECT_NAMES)] + [[name, uf, 1, 2, 30 * n] for n, name, uf in places[:4]]
     sheet += [["TOTAL", None, 4, 8, 300]]
-    workbook.write(base / "projects" / "projetos.xlsx", {y: sheet for y in C.PROJECT_SHEETS})
+    workbooks.write(base / "projects" / "projetos.xlsx", {y: sheet for y in C.PROJECT_SHEETS})
     write_csv(
         base / "gdp" / "pib.csv", 0, C.GDP_NAMES,
         [[y, "Nordeste", n, name, uf, n * 1000 + y, "--" if n == 11 else n]

@@ -1,10 +1,10 @@
 import json
 
 import pytest
-import workbook
 from pyspark.sql import functions as F
 
 from edupanel import config as C
+from workload import workbooks
 from edupanel.session import new_path, shared_dir, stage
 from edupanel.sources import (
     MissingColumnsError,
@@ -68,7 +68,7 @@ def test_several_files_by_list_folder_and_pattern(spark, tmp_path):
 
 def test_workbook_sheets(spark, tmp_path):
     path = str(tmp_path / "p.xlsx")
-    workbook.write(path, {
+    workbooks.write(path, {
         "2020": [["notes"], [], ["CIDADES", "x", "n"], ["Patos", 9, 1], [None, None, None], ["Natal", 9, 2.5]],
         "2021": [["notes"], [], ["CIDADES", "x", "n"], ["Olinda & Recife", 9, None]],
         "2019": [["CIDADES"]],

@@ -219,6 +219,7 @@ ORACLE: dict[str, str] = {
         o_orderpriority FROM orders""",
     "scan_multi_sheet": """SELECT o_orderkey, o_totalprice,
         CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders""",
+    "scan_workbook": "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer",
     "scan_columns": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_brand,
         p_partkey AS _row FROM part""",
     "na_tokens": """SELECT o_orderkey, CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL

@@ -31,6 +31,7 @@ from edupanel.plans import panel as P
 from edupanel.session import new_path
 from edupanel.sources import read_geojson, read_table, scan_table, write_csv, write_table
 from workload import standin as S
+from workload import workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,6 +116,26 @@ def scan_multi_sheet(spark, sf_dir):
     )
 
 
+@query
+def scan_workbook(spark, sf_dir):
+    """Workbooks with one sheet per market segment; the sheet name becomes a column."""
+    path = new_path(spark, "workbooks")
+    customer = S.table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_acctbal", F.col("c_mktsegment").alias("_sheet")
+    )
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    workbooks.write_all(customer, path, segments, C.SCORE_SKIP)
+    raw = scan_table(
+        spark, "customer", path, ["c_custkey", "c_acctbal"], "sheet",
+        skip_rows=C.SCORE_SKIP, sheets_named=segments,
+    )
+    return raw.select(
+        parse_key(F.col("c_custkey")).alias("c_custkey"),
+        coerce_numeric(F.col("c_acctbal")).alias("c_acctbal"),
+        F.col("_sheet").alias("c_mktsegment"),
+    )
+
+
 @query
 def scan_columns(spark, sf_dir):
     path = new_path(spark, "landing")
