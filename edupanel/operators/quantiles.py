@@ -26,6 +26,8 @@ OCTAVE_CELL = """CAST(signum(v) * CASE WHEN v = 0 THEN 0 WHEN abs(v) = double('i
 SPLITS = 4096
 # rows whose values may be returned to the driver; beyond it the cells are split again
 DIRECT_ROWS = 200_000
+# values of a partition column, each of which has its own edges
+MAX_PARTS = 200
 
 
 class DuplicateEdgesError(ValueError):
@@ -54,7 +56,8 @@ def exact_quantiles(
 ) -> dict[str, list[float] | None]:
     """Linearly interpolated quantiles of each column, nulls and NaN left out.
 
-    An action, like ``DataFrame.approxQuantile``; all columns share each pass. A column
+    An action, like ``DataFrame.approxQuantile``; all columns share each pass. ``df`` is read
+    in each round, so it should be a stored table rather than a long computation. A column
     without values yields None.
     """
     values = [f"CAST({_name(c)} AS DOUBLE)" for c in columns]
@@ -103,35 +106,58 @@ def quantile_bands(
     bands: Sequence[tuple[str, str, Sequence[str]]],
     on_duplicate_edges: str = "raise",
     method: str = "exact",
+    partition_by: str | None = None,
 ) -> DataFrame:
     """Add ``<out>`` (label) and ``<out>_ord`` (1..n) for each (column, out, labels).
 
     Bands are equal-frequency, open below and closed above, the lowest edge included; null
     stays null. Finding the edges is an action, the bands themselves are a plain CASE. Edges
     that coincide leave fewer bands than labels: that is an error, or with ``skip`` the
-    band columns are left out.
+    band columns are left out. Edges are those of all rows together, or with
+    ``partition_by`` (a column of few values, such as the year) of each value's rows.
     """
     if on_duplicate_edges not in ("raise", "skip"):
         raise ValueError("on_duplicate_edges must be 'raise' or 'skip'")
+    if partition_by is None:
+        parts = {"TRUE": df}
+    else:
+        parts = _parts(df, partition_by)
+    edges = {where: _edges(part, bands, method) for where, part in parts.items()}
+    added: dict[str, Column] = {}
+    for column, out, labels in bands:
+        cuts = {where: found[column, len(labels)] for where, found in edges.items()}
+        broken = [cut for cut in cuts.values() if cut is None or len(set(cut)) < len(cut)]
+        if broken and on_duplicate_edges == "skip":
+            continue
+        if broken:
+            raise DuplicateEdgesError(f"{column}: edges {broken[0]} do not form {len(labels)} bands")
+        added[out] = _band(column, cuts, [_text(label) for label in labels])
+        added[f"{out}_ord"] = _band(column, cuts, [str(k + 1) for k in range(len(labels))])
+    return df.withColumns(added) if added else df
+
+
+def _parts(df: DataFrame, column: str) -> dict[str, DataFrame]:
+    """Rows of each value by condition; a stored table is read one folder at a time."""
+    found = df.select(column).na.drop().distinct().limit(MAX_PARTS + 1).collect()
+    if len(found) > MAX_PARTS:
+        raise ValueError(f"{column} has more than {MAX_PARTS} values")
+    conditions = [
+        f"{_name(column)} = " + (_text(v) if isinstance(v, str) else str(v))
+        for v in sorted(row[0] for row in found)
+    ]
+    return {condition: df.where(condition) for condition in conditions}
+
+
+def _edges(df: DataFrame, bands, method: str) -> dict[tuple[str, int], list[float] | None]:
     find = {"exact": exact_quantiles, "approx": approximate_quantiles}[method]
     by_count: dict[int, list[str]] = {}
     for column, _, labels in bands:
         by_count.setdefault(len(labels), []).append(column)
-    edges = {
-        (n, column): found
+    return {
+        (column, n): cut
         for n, columns in by_count.items()
-        for column, found in find(df, columns, [k / n for k in range(n + 1)]).items()
+        for column, cut in find(df, columns, [k / n for k in range(n + 1)]).items()
     }
-    added: dict[str, Column] = {}
-    for column, out, labels in bands:
-        cut = edges[len(labels), column]
-        if cut is None or len(set(cut)) < len(cut):
-            if on_duplicate_edges == "skip":
-                continue
-            raise DuplicateEdgesError(f"{column}: edges {cut} do not form {len(labels)} bands")
-        added[out] = _band(column, cut, [_text(label) for label in labels])
-        added[f"{out}_ord"] = _band(column, cut, [str(k + 1) for k in range(len(labels))])
-    return df.withColumns(added) if added else df
 
 
 # Expressions are put together as SQL text: one call to the JVM instead of one per operator.
@@ -147,9 +173,10 @@ def _text(label: str) -> str:
     return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _band(column: str, edges: Sequence[float], results: Sequence[str]) -> Column:
+def _band(column: str, cuts: dict[str, list[float]], results: Sequence[str]) -> Column:
     cases = [
-        f"WHEN {_name(column)} <= {_number(edge)} THEN {result}"
+        f"WHEN {where} AND {_name(column)} <= {_number(edge)} THEN {result}"
+        for where, edges in cuts.items()
         for edge, result in zip(edges[1:], results)
     ]
     return F.expr(f"CASE {' '.join(cases)} END")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from edupanel import config as C
 from edupanel.functions import fixed_decimals, matches, thousands
 from edupanel.operators import densify, drop_null_keys, wide_by_value
+from edupanel.sources import write_csv
 
 NAME, SCORE, RATE = "nome_municipio_formatado", "ideb_nota", "taxa_distorcao_total_fun"
 
@@ -222,3 +223,10 @@ def detail_table(
     if search:
         rows = rows.where(matches(F.col(NAME), search, literal))
     return rows.select(*C.DETAIL_COLUMNS, "tem_projeto")
+
+
+def export_detail(detail: DataFrame, year: int, folder: str) -> str:
+    """Write the detail columns as CSV; the path returned carries the year."""
+    path = f"{folder.rstrip('/')}/dados_detalhados_{year}.csv"
+    write_csv(detail.select(*C.DETAIL_COLUMNS), path)
+    return path

@@ -1,9 +1,9 @@
 """The batch job: raw files in, six processed tables out.
 
-    spark-submit --py-files edupanel.zip -m edupanel.plans.job --raw <folder> --out <folder>
+    spark-submit --py-files edupanel.zip edupanel/plans/job.py --raw <folder> --out <folder>
 
-or ``python -m edupanel.plans.job``. The raw folder holds one entry per table; see
-``RawPaths`` for the names, each of which can be given.
+or ``python -m edupanel.plans.job``. The raw folder holds one entry per table; each can also
+lie elsewhere, e.g. ``--distortion 'data/raw/INEP/TDI_MUNICIPIOS_*.xlsx'``.
 """
 
 from __future__ import annotations
@@ -41,7 +41,6 @@ def scan_raw(spark: SparkSession, raw: RawPaths) -> dict[str, DataFrame]:
     """The five raw tables, lazily; missing paths or columns fail with the table's name."""
     dashes = C.DEFAULT_NA_TOKENS + C.DASH_NA_TOKENS
     notes = [f"{C.SCORE_SOURCE_PREFIX}{y}" for y in C.SCORE_YEARS]
-    # the GDP headers hold line breaks, the files may too
     layout = {
         "territory": (raw.territory, C.TERRITORY_NAMES, C.TERRITORY_SKIP, C.DEFAULT_NA_TOKENS),
         "score": (raw.score, [*C.SCORE_NAMES, *notes], C.SCORE_SKIP, dashes),

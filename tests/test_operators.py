@@ -74,6 +74,17 @@ def test_columns_share_the_passes_and_may_be_empty(spark):
     assert found == {"a": [1.0, 1.5, 2.0], "b": [5.0, 5.5, 6.0], "c": None}
 
 
+def test_edges_per_partition(spark):
+    rows_in = [(y, y * 1000.0 + n) for y in (1, 2) for n in range(8)] + [(None, 5.0)]
+    data = spark.createDataFrame(rows_in, "ano int, x double")
+    banded = quantile_bands(data, [("x", "band", "ABCD")], partition_by="ano")
+    found = {(r.ano, r.x % 1000): r.band for r in banded.collect()}
+    assert [found[y, n] for y in (1, 2) for n in range(8)] == list("AABBCCDD" * 2)
+    assert found[None, 5.0] is None
+    pooled = quantile_bands(data.na.drop(), [("x", "band", "ABCD")])
+    assert {(r.ano, r.band) for r in pooled.collect()} == {(1, "A"), (1, "B"), (2, "C"), (2, "D")}
+
+
 def test_infinity_falls_in_the_top_band(spark):
     data = column(spark, [1.0, 2.0, 3.0, 4.0, 5.0, float("inf")])
     banded = quantile_bands(data, [("x", "band", "ABCD")])

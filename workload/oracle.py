@@ -286,6 +286,15 @@ ORACLE: dict[str, str] = {
     "band_quartile_gdp": band_query("pib_mil_reais", "faixa_pib", C.GDP_BANDS),
     "band_quartile_gdp_pc": band_query(
         "pib_per_capita", "faixa_pib_per_capita", C.GDP_PER_CAPITA_BANDS),
+    "band_quartile_by_year": sql(f"""SELECT id_municipio, ano,
+        list_extract([{", ".join(f"'{v}'" for v in C.POPULATION_BANDS)}], k) AS faixa_populacao,
+        CAST(k AS INTEGER) AS faixa_populacao_ord
+        FROM (SELECT *, CASE WHEN populacao <= a THEN 1 WHEN populacao <= b THEN 2
+                WHEN populacao <= c THEN 3 ELSE 4 END AS k
+              FROM panel JOIN (
+                SELECT ano AS y, quantile_cont(populacao, 0.25) AS a,
+                       quantile_cont(populacao, 0.5) AS b, quantile_cont(populacao, 0.75) AS c
+                FROM panel GROUP BY 1) ON y = ano)""", "panel"),
     "band_quartile_category": sql(
         "SELECT id_municipio, ano, categoria_pib FROM explored", "explored"),
     # reshape, sets, keys

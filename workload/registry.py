@@ -29,7 +29,7 @@ from edupanel.plans import dashboard as D
 from edupanel.plans import exploration as X
 from edupanel.plans import panel as P
 from edupanel.session import new_path
-from edupanel.sources import read_geojson, read_table, scan_table, write_csv, write_table
+from edupanel.sources import read_geojson, read_table, scan_table, write_table
 from workload import standin as S
 from workload import workbooks
 
@@ -186,10 +186,9 @@ def geojson_features(spark, sf_dir):
 
 @query
 def csv_export(spark, sf_dir):
-    path = new_path(spark, "detail")
-    detail = D.detail_table(S.stored_serving(spark, sf_dir), YEAR).select(*C.DETAIL_COLUMNS)
-    write_csv(detail, path)
-    return spark.read.schema(detail.schema).csv(path, header=True)
+    detail = D.detail_table(S.stored_serving(spark, sf_dir), YEAR)
+    path = D.export_detail(detail, YEAR, new_path(spark, "export"))
+    return spark.read.schema(detail.select(*C.DETAIL_COLUMNS).schema).csv(path, header=True)
 
 
 @query
@@ -326,6 +325,13 @@ def band_quartile_gdp_pc(spark, sf_dir):
     return _bands(spark, sf_dir, "pib_per_capita", "faixa_pib_per_capita", C.GDP_PER_CAPITA_BANDS)
 
 
+@query
+def band_quartile_by_year(spark, sf_dir):
+    panel = S.stored_panel(spark, sf_dir).select("id_municipio", "ano", "populacao")
+    bands = [("populacao", "faixa_populacao", C.POPULATION_BANDS)]
+    return quantile_bands(panel, bands, partition_by="ano").drop("populacao")
+
+
 @query
 def band_quartile_category(spark, sf_dir):
     panel = S.stored_panel(spark, sf_dir).select("id_municipio", "ano", "pib_per_capita")
