@@ -1,9 +1,10 @@
 """Time the headline queries; prints one JSON line.
 
 Reads $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]. Each query is
-written to the noop sink, so all of its rows are computed. ``build_panel`` starts from the
-raw tables. ``serving_panel`` starts from the stored panel and finds the exact quartiles;
-the questions after it read the stored serving panel, as a dashboard does.
+written to the noop sink, so all of its rows are computed. ``queries`` holds the better of
+two runs and ``first_run`` the first, which also pays for code generation and starting
+Python workers. ``BUILD`` starts from the raw tables. ``store_panel_and_serving`` then builds
+and writes the panel and the serving panel once; ``ASK`` reads those, as a dashboard does.
 """
 
 from __future__ import annotations
@@ -14,23 +15,25 @@ import sys
 import time
 
 from edupanel.session import get_spark
-from workload.registry import QUERIES
 from workload import standin
+from workload.registry import QUERIES
 
-HEADLINE = (
-    "normalize_name", "search_name", "clean_gdp", "clean_score", "clean_projects",
-    "clean_distortion", "clean_territory", "build_panel", "serving_panel",
-    "band_quartile_population", "kpi_overview", "rank_top_score", "impact_score",
-    "impact_variation", "context_by_segment", "history_series", "detail_table",
-    "map_layer", "flag_by_year", "score_by_gdp_flag", "score_by_size_gdp_flag",
-    "scan_header_offset", "csv_export",
+BUILD = (
+    "normalize_name", "search_name", "scan_header_offset", "clean_gdp", "clean_score",
+    "clean_projects", "clean_distortion", "clean_territory", "build_panel",
+)
+ASK = (
+    "serving_panel", "band_quartile_population", "kpi_overview", "rank_top_score",
+    "impact_score", "impact_variation", "context_by_segment", "history_series",
+    "detail_table", "map_layer", "flag_by_year", "score_by_gdp_flag",
+    "score_by_size_gdp_flag", "csv_export",
 )
 
 
 def run(spark, sf_dir: str, name: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    return round(time.perf_counter() - start, 3)
 
 
 def main() -> None:
@@ -41,20 +44,27 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    timings = {}
-    # the first query of a session pays for starting it
-    run(spark, sf_dir, "map_lookup")
+    best: dict[str, float] = {}
+    first: dict[str, float] = {}
+
+    def time_all(names) -> None:
+        for name in names:
+            first[name] = run(spark, sf_dir, name)
+            best[name] = min(first[name], run(spark, sf_dir, name))
+
+    chosen = sys.argv[1:]
+    time_all(n for n in BUILD if not chosen or n in chosen)
     start = time.perf_counter()
     standin.stored_serving(spark, sf_dir)
-    timings["store_panel_and_serving"] = time.perf_counter() - start
-    for name in sys.argv[1:] or HEADLINE:
-        timings[name] = run(spark, sf_dir, name)
-    timings = {name: round(seconds, 3) for name, seconds in timings.items()}
+    stored = "store_panel_and_serving"
+    first[stored] = best[stored] = round(time.perf_counter() - start, 3)
+    time_all(n for n in ASK if not chosen or n in chosen)
     print(json.dumps({
         "metric": "total time of the headline queries",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(best.values()), 3),
         "unit": "sec",
-        "queries": timings,
+        "queries": best,
+        "first_run": first,
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
     }))
 

@@ -99,6 +99,8 @@ class OffsetSheetReader(DataSourceReader):
             if path.lower().endswith(".xlsx"):
                 sheets = self.sheets or [None]
                 parts += [Part(path, 0, size, sheet) for sheet in sheets]
+            elif path.lower().endswith(".xls"):
+                raise ValueError(f"{path}: export binary .xls files to .xlsx, CSV or Parquet")
             else:
                 step = max(size, 1) if self.multiline else self.split_bytes
                 starts = range(0, size, step)

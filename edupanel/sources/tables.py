@@ -41,7 +41,9 @@ def scan_table(
 
     ``sheet`` reads CSV exports or workbooks with rows above the header. ``parquet`` and
     ``csv`` read a landing zone that already carries ``_row`` (and ``_sheet``). A missing
-    path or column is an error; fields equal to a token of ``na_tokens`` become null.
+    path or column is an error; fields equal to a token of ``na_tokens`` become null. CSV
+    exports are cut at line breaks; where fields hold line breaks, ``multiline="true"`` reads
+    each file in one piece.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "sheet":

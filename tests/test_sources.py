@@ -86,6 +86,16 @@ def test_workbook_sheets(spark, tmp_path):
         scan_table(spark, "projects", path, ["CIDADES"], "sheet", sheets_named=["2030"]).collect()
 
 
+def test_fields_with_line_breaks_and_binary_workbooks(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('id,v\n1,"a\nb"\n2,c\n')
+    raw = scan_table(spark, "t", str(path), ["id", "v"], "sheet", multiline="true", splitBytes="3")
+    assert rows(raw.select("id", "v")) == [("1", "a\nb"), ("2", "c")]
+    (tmp_path / "old.xls").write_bytes(b"x")
+    with pytest.raises(Exception, match="export binary .xls"):
+        scan_table(spark, "t", str(tmp_path / "old.xls"), ["id"], "sheet").collect()
+
+
 def test_missing_columns_and_files(spark, tmp_path):
     (tmp_path / "t.csv").write_text("id\n1\n")
     with pytest.raises(Exception, match="lacks the columns"):

@@ -164,7 +164,7 @@ def pairs(year: int) -> str:
 STATE_LIST = ", ".join(f"'{s}'" for s in STATES)
 PANEL = ", ".join(C.PANEL_COLUMNS)
 DETAIL = ", ".join(C.DETAIL_COLUMNS)
-HOVER = ", ".join(C.HOVER_COLUMNS)
+HOVER = ", ".join(f"s.{c}" for c in C.HOVER_COLUMNS)
 NAME, RATE = "nome_municipio_formatado", "taxa_distorcao_total_fun"
 DTYPES = {
     "ano": "int", "regiao": "string", "id_municipio": "bigint", "sg_uf": "string",
@@ -335,9 +335,8 @@ ORACLE: dict[str, str] = {
     "map_layer": sql(f"""SELECT s.id_municipio, status_projeto, {HOVER},
         '{{"type":"Point","coordinates":[' || n_nationkey || ',' || n_regionkey || ']}}'
           AS geometry
-        FROM serving s JOIN territory t USING ({NAME}) JOIN nation ON t.id_uf = n_nationkey
-        WHERE ano = {YEAR} AND CAST(t.id_municipio AS VARCHAR) = s.id_municipio""".replace(
-            HOVER, ", ".join(f"s.{c}" for c in C.HOVER_COLUMNS)), "serving", "territory"),
+        FROM serving s JOIN territory t ON CAST(t.id_municipio AS VARCHAR) = s.id_municipio
+        JOIN nation ON t.id_uf = n_nationkey WHERE ano = {YEAR}""", "serving", "territory"),
     # cleaning jobs and panel
     "clean_territory": sql("SELECT * EXCLUDE (_row) FROM territory", "territory"),
     "clean_score": sql("SELECT * FROM score", "score"),
