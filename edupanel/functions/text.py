@@ -32,23 +32,28 @@ def _ascii_folds() -> tuple[dict[str, str], dict[str, str]]:
 
 
 def ascii_fold(text: Column) -> Column:
-    """Compatibility-decompose and drop what is not ASCII ('São' -> 'Sao', '½' -> '12')."""
+    """Compatibility-decompose and drop what is not ASCII ('São' -> 'Sao', '½' -> '12').
+
+    ASCII texts pass through. One translation folds the others and marks characters that
+    fold to more than one letter; only texts with a mark are spelled out by character.
+    """
     single, several = _ascii_folds()
-    folded = F.translate(text, "".join(single), "".join(single.values()))
+    mark = "\x01"
+    folds = "".join(single.values())
+    marked = F.translate(text, "".join(single) + "".join(several), folds + mark * len(several))
     # one foldable literal, not a thousand
     pairs = "\x01".join(f"{char}\x02{spelling}" for char, spelling in several.items())
     lookup = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
     spelled = F.array_join(
         F.transform(
-            F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0)),
+            F.regexp_extract_all(F.translate(text, "".join(single), folds), F.lit("(?s)."), F.lit(0)),
             lambda ch: F.when(ch < "\x80", ch).otherwise(F.coalesce(lookup[ch], ch)),
         ),
         "",
     )
-    # deleting them is a far quicker test than a character class of this length
-    has_several = F.translate(text, "".join(several), "") != text
-    folded = F.when(has_several, spelled).otherwise(folded)
-    return F.when(text.rlike(NON_ASCII), F.regexp_replace(folded, NON_ASCII, "")).otherwise(text)
+    folded = F.when(F.contains(marked, F.lit(mark)), spelled).otherwise(marked)
+    is_ascii = F.octet_length(text) == F.length(text)
+    return F.when(is_ascii, text).otherwise(F.regexp_replace(folded, NON_ASCII, ""))
 
 
 def normalize_name(name: Column) -> Column:
