@@ -45,7 +45,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.distinct(), "links")
+        large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
