@@ -176,28 +176,29 @@ def fit(chains: Sequence[np.ndarray], labels: Sequence[int], steps: int = STEPS,
     return LineCrf(mean, scale, weights, moves)
 
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES) -> LineCrf | None:
-    """Fit on ``sample_docs`` rows (id, text, label) of each label, in the order of a hash.
+def train(
+    docs: DataFrame, marks: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES,
+) -> LineCrf | None:
+    """Fit on texts (id, text) of ``sample_docs`` marked ids (id, label) of each label, in the order of a hash.
 
-    Documents of over ``sample_lines`` lines don't train; both bounds together bound the driver's
+    Ids are drawn before texts are touched; at most twice ``sample_docs`` ids are broadcast to pick the
+    texts. Documents of over ``sample_lines`` lines don't train; both bounds together bound the driver's
     share. Features are computed on the executors. None without rows.
     """
-    small = F.size(F.split("text", "\n")) <= sample_lines
-    picked = None
-    for label in (0, 1):
-        part = labelled.where((F.col("label") == label) & small).orderBy(
-            F.xxhash64("id"), "id").limit(sample_docs)
-        picked = part if picked is None else picked.union(part)
+    there = marks.join(docs.select("id").distinct(), "id")
+    drawn = [there.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample_docs) for label in (0, 1)]
+    picked = docs.join(F.broadcast(drawn[0].union(drawn[1])), "id").where(
+        F.size(F.split("text", "\n")) <= sample_lines)
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: features(t)[0].astype("<f4").tobytes())
 
     # one small column of features per document comes to the driver
-    rows = picked.repartition(8).select("label", "id", packed("text").alias("x")).collect()
+    rows = picked.select("label", "id", packed("text").alias("x")).collect()
     if not rows:
         return None
-    rows.sort(key=lambda r: (r.label, r.id is None, r.id or 0, bytes(r.x)))
+    rows.sort(key=lambda r: (r.label, r.id, bytes(r.x)))
     width = len(features("")[0][0])
     chains = [np.frombuffer(bytes(r.x), "<f4").reshape(-1, width).astype(float) for r in rows]
     return fit(chains, [r.label for r in rows])
@@ -240,10 +241,9 @@ def keep(
 def learn(docs, labels, id_col, text_col, label_col, folds, held_out) -> LineCrf | None:
     """The model of ``train`` from labelled rows outside the fold ``held_out``."""
     marks = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
-    marks = marks.where("label in (0, 1)").groupBy("id").agg(F.min("label").alias("label"))
-    rows = docs.where(fold_of(id_col, folds) != held_out).select(
-        F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return train(rows.join(marks, F.col("doc_id") == F.col("id")).select("id", "text", "label"))
+    marks = marks.where((fold_of("id", folds) != held_out) & F.col("label").isin(0, 1) & F.col("id").isNotNull())
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    return train(rows, marks.groupBy("id").agg(F.min("label").alias("label")))
 
 
 def _quality(model: LineCrf | None):
