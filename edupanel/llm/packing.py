@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -16,10 +17,80 @@ from .common import text_of
 
 CAPACITY = 2048
 SALTS = 256
-CACHED_WORDS = 200_000
+CACHED_WORDS = 1_000_000
+SHORT = 7
+DOCS_AT_ONCE = 500
 _SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
 
+class WordTokens:
+    """Token ids of words as little-endian 32-bit numbers; about CACHED_WORDS words are kept.
+
+    Words of Latin letters with end marks are tokenised many at a time, joined by spaces. Their letters
+    are one pre-token and their end marks another, and every pre-token ends with a token that ends a word,
+    which tells the words apart again. All other words are tokenised one by one.
+    """
+
+    plain = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]*)").fullmatch
+
+    def __init__(self, path: str) -> None:
+        # tasks already use all cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of each list of words, one after the other."""
+        known = self.known
+        new = set().union(*texts).difference(known)
+        if len(known) + len(new) > CACHED_WORDS:
+            # short words come most often
+            self.known = known = {w: ids for w, ids in known.items() if len(w) <= SHORT}
+            if len(known) > CACHED_WORDS // 2:
+                known.clear()
+            new = set().union(*texts).difference(known)
+        easy, parts = [], []
+        for word in new:
+            if found := self.plain(word):
+                easy.append(word)
+                parts.append(2 if found[1] else 1)
+        for i in range(0, len(easy), 2000):
+            self._together(easy[i:i + 2000], parts[i:i + 2000])
+        self._singly([w for w in new if w not in known])
+        return [b"".join([known[w] for w in words]) for words in texts]
+
+    def _together(self, words: list[str], parts: list[int]) -> None:
+        (found,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
+        last = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)])
+        if len(last) == sum(parts):  # a vocabulary without word ends takes the other way
+            cuts = (last[np.cumsum(parts) - 1] + 1).tolist()
+            packed = ids.tobytes()
+            for word, start, end in zip(words, [0, *cuts], cuts):
+                self.known[word] = packed[4 * start:4 * end]
+
+    def _singly(self, words: list[str]) -> None:
+        for i in range(0, len(words), 10_000):
+            part = words[i:i + 10_000]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+
+
+_tokens: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """One cache per vocabulary and Python worker; Spark uses a worker for many tasks."""
+    if path not in _tokens:
+        _tokens[path] = WordTokens(path)
+    return _tokens[path]
+
+
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
     capacity: int = CAPACITY, end_id: int = 0,
@@ -27,38 +98,24 @@ def token_pieces(
     """(doc_id, piece, start, length, ids): every document's tokens and an end, cut at ``capacity``.
 
     ``ids`` holds little-endian unsigned 32-bit numbers. The vocabulary's normaliser and
-    pre-tokeniser never look across white space, so a text's tokens are those of its words, and
-    each task keeps the tokens of up to ``CACHED_WORDS`` words. Null text is empty.
+    pre-tokeniser never look across white space, so a text's tokens are those of its words. Null text
+    is empty.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        known: dict[str, list[int]] = {}
-        split = re.compile(r"[\x20\x09\x0a\x0d]+").split
+        tokens = word_tokens(tokenizer_path)
+        end, step = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = split(text)
-                new = list({w for w in words if w not in known})
-                if new:
-                    if len(known) + len(new) > CACHED_WORDS:
-                        known.clear()
-                        new = list(set(words))
-                    for i in range(0, len(new), 10_000):
-                        part = new[i:i + 10_000]
-                        found = tokenizer.encode_batch(part, add_special_tokens=False)
-                        known.update((w, e.ids) for w, e in zip(part, found))
-                ids: list[int] = []
-                for word in words:
-                    ids += known[word]
-                ids.append(end_id)
-                packed = np.array(ids, dtype="<u4")
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = packed[start:start + capacity]
-                    for column, value in zip(columns, (doc_id, piece, start, len(part), part.tobytes())):
-                        column.append(value)
+            for first in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(first, DOCS_AT_ONCE)
+                words = [t.replace("\n", " ").split(" ") for t in part.column(1).to_pylist()]
+                for doc_id, packed in zip(part.column(0).to_pylist(), tokens(words)):
+                    packed += end
+                    for piece, start in enumerate(range(0, len(packed), step)):
+                        ids = packed[start:start + step]
+                        for column, value in zip(columns, (doc_id, piece, start // 4, len(ids) // 4, ids)):
+                            column.append(value)
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "piece", "start", "length", "ids"])
