@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -15,7 +16,7 @@ from .common import fold_of, words_of
 
 HEAD_WORDS = 131_072
 ROUNDS = 1
-KEPT_WORDS = 200_000
+KEPT_WORDS = 1_000_000
 BATCH_WORDS = 400_000
 _MARK = "▁"
 
@@ -29,41 +30,51 @@ class Lattice:
 
     def __init__(self, log_p: dict[str, float]) -> None:
         self.log_p = log_p
-        self.longest = max(map(len, log_p))
-
-    def edges(self, text: str) -> list[list[tuple[int, str, float]]]:
-        """For every end the pieces that end there, with their start."""
-        log_p, ends = self.log_p, [[] for _ in range(len(text) + 1)]
-        for start in range(len(text)):
-            for end in range(start + 1, min(len(text), start + self.longest) + 1):
+        # every beginning of a piece; None where it is no piece itself, so a search ends early
+        self.begun: dict[str, float | None] = {p[:n]: None for p in log_p for n in range(1, len(p))}
+        self.begun.update(log_p)
+
+    def forward(self, text: str) -> tuple[list[float], list[list[tuple[int, str, float]]]]:
+        """Log probability of every beginning of the text, and for every end the pieces that end there."""
+        get, size, alpha = self.begun.get, len(text), []
+        into: list[list[float]] = [[] for _ in range(size + 1)]
+        ends: list[list[tuple[int, str, float]]] = [[] for _ in range(size + 1)]
+        into[0].append(0.0)
+        for start in range(size + 1):
+            terms = into[start]
+            if len(terms) == 1:
+                here = terms[0]
+            else:
+                top = max(terms)
+                here = top + math.log(sum([math.exp(t - top) for t in terms]))
+            alpha.append(here)
+            end = start + 1
+            while end <= size:
                 piece = text[start:end]
-                if (weight := log_p.get(piece)) is not None:
+                weight = get(piece, 1.0)
+                if weight is not None:
+                    if weight == 1.0:  # no logarithm of a probability
+                        break
+                    into[end].append(here + weight)
                     ends[end].append((start, piece, weight))
-            if text[start] not in log_p:
-                spelt = self.spelt(text[start])
-                ends[start + 1].append((start, text[start], sum(log_p[b] for b in spelt)))
-        return ends
+                end += 1
+            if start < size and not (ends[start + 1] and ends[start + 1][-1][0] == start):
+                weight = sum(self.log_p[b] for b in self.spelt(text[start]))
+                into[start + 1].append(here + weight)
+                ends[start + 1].append((start, text[start], weight))
+        return alpha, ends
 
     @staticmethod
     def spelt(char: str) -> list[str]:
         return [f"<0x{b:02X}>" for b in char.encode("utf-8", "surrogatepass")]
 
-    def forward(self, ends) -> list[float]:
-        alpha = [0.0]
-        for into in ends[1:]:
-            terms = [alpha[start] + weight for start, _, weight in into]
-            top = max(terms)
-            alpha.append(top + math.log(sum([math.exp(t - top) for t in terms])) if len(terms) > 1 else top)
-        return alpha
-
     def score(self, word: bytes) -> float:
-        return self.forward(self.edges(_MARK + word.decode("utf-8", "replace")))[-1] / math.log(10)
+        return self.forward(_MARK + word.decode("utf-8", "replace"))[0][-1] / math.log(10)
 
     def expect(self, word: bytes, count: float, into: dict[str, float]) -> None:
         """Add the expected number of each piece in ``count`` such words."""
         text = _MARK + word.decode("utf-8", "replace")
-        ends = self.edges(text)
-        alpha = self.forward(ends)
+        alpha, ends = self.forward(text)
         share = [0.0] * len(text) + [count]
         for end in range(len(text), 0, -1):
             if not share[end]:
@@ -142,6 +153,17 @@ def refine(log_p: dict[str, float], counts: DataFrame, ends: int) -> dict[str, f
     return {piece: math.log(seen.get(piece, 0.0) + 0.5) - total for piece in log_p}
 
 
+_scores: dict[str, dict[bytes, float]] = {}
+
+
+def word_scores(model: str) -> dict[bytes, float]:
+    """Scores of one model that a Python worker has worked out; Spark uses a worker for many tasks."""
+    if model not in _scores:
+        _scores.clear()
+        _scores[model] = {}
+    return _scores[model]
+
+
 def score(
     docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text",
     folds: int = 5, held_out: int = 1, rounds: int = ROUNDS, head_words: int = HEAD_WORDS,
@@ -178,13 +200,14 @@ def score(
     head = {bytes(r.word): int(r["count"]) for r in most.collect()}
     sent = docs.sparkSession.sparkContext.broadcast((head, log_p))
     whole = len(head) < head_words
+    model_name = uuid.uuid4().hex
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, log_p = sent.value
         lattice, logs = Lattice(log_p), {w: math.log10((c + 0.5) / below) for w, c in head.items()}
         unseen, end = math.log10(0.5 / below), math.log10((ends + 0.5) / below)
         last = log_p[END] / math.log(10)
-        scores: dict[bytes, float] = {}
+        scores = word_scores(model_name)
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
             columns = [batch.column(i).to_pylist() for i in (0, 2)]
