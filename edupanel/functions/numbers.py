@@ -83,13 +83,16 @@ def fixed_decimals(number: Column) -> Column:
 def plain_number(number: Column) -> Column:
     """Text of a double without exponent up to 1e16, as CSV readers expect it."""
     text = number.cast("string")
-    long_form = F.regexp_replace(
-        number.try_cast("decimal(38,18)").cast("string"), r"(\.[0-9]+?)0+$", "$1"
-    )
+
+    def long_form(decimals: int) -> Column:
+        digits = number.try_cast(f"decimal(38,{decimals})").cast("string")
+        return F.regexp_replace(digits, r"(\.[0-9]+?)0+$", "$1")
+
     size = F.abs(number)
     return (
         F.when(size == float("inf"), F.when(number > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when((size >= 1e7) & (size < 1e16), long_form)
-        .when((size >= 1e-4) & (size < 1e-3), long_form)
+        .when((size >= 1e7) & (size < 1e16), long_form(18))
+        # four zeros and up to 17 digits
+        .when((size >= 1e-4) & (size < 1e-3), long_form(24))
         .otherwise(text)
     )

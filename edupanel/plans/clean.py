@@ -30,8 +30,15 @@ def key(df: DataFrame, name: str) -> Column:
     return parse_key(F.col(name))
 
 
-def clean_territory(raw: DataFrame, order: Sequence[str] = ("_row",)) -> DataFrame:
-    """One row per municipality, the first of the file."""
+def year(df: DataFrame, name: str) -> Column:
+    """A year as INT, also from '2021.0'."""
+    return key(df, name).cast("int")
+
+
+def clean_territory(raw: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """One row per municipality, the first by file and row."""
+    if order is None:
+        order = [c for c in ("_source", "_row") if c in raw.columns]
     named = raw.withColumnsRenamed(C.TERRITORY_NAMES)
     keyed = named.withColumns(
         {"id_municipio": key(named, "id_municipio"), "id_uf": key(named, "id_uf").cast("int")}
@@ -64,7 +71,7 @@ def clean_score(
 
 
 def clean_projects(
-    raw: DataFrame, state_names: Mapping[str, str] | None = None, year: str = "ano"
+    raw: DataFrame, state_names: Mapping[str, str] | None = None, year_column: str = "ano"
 ) -> DataFrame:
     """Project counts per place, state and year; the state name where the mapping has it.
 
@@ -75,7 +82,7 @@ def clean_projects(
     valid = named.where(F.col("sg_uf").isNotNull()).select(
         normalize_name(F.col("nome_municipio")).alias("nome_municipio_formatado"),
         "sg_uf",
-        F.col(year).cast("int").alias("ano"),
+        year(named, year_column).alias("ano"),
         *[measure(named, name).alias(name) for name in C.PROJECT_MEASURES],
     )
     keys = ["nome_municipio_formatado", "sg_uf", "ano"]
@@ -97,7 +104,8 @@ def clean_gdp_base(raw: DataFrame) -> DataFrame:
         return coerce_numeric(text) if types[name] == "string" else nan_to_null(text.cast("double"))
 
     typed = named.select(
-        F.col("ano").cast("int").alias("ano"),
+        # notes below the table have no id, and no year to parse
+        F.when(F.col("id_municipio").isNotNull(), year(named, "ano")).alias("ano"),
         "regiao",
         key(named, "id_municipio").alias("id_municipio"),
         "sg_uf",
@@ -123,17 +131,16 @@ def clean_gdp(
 
 
 def clean_distortion(raw: DataFrame, network: str = C.PUBLIC_NETWORK) -> DataFrame:
-    """Simple mean of the three rates per municipality and year of each file."""
+    """Simple mean of the three rates per municipality and year, however the files are cut."""
     named = raw.withColumnsRenamed(C.DISTORTION_NAMES)
     public = named.where(F.col("rede") == network)
     rows = public.select(
         key(public, "id_municipio").alias("id_municipio"),
-        F.col("ano").cast("int").alias("ano"),
+        year(public, "ano").alias("ano"),
         normalize_name(F.col("nome_municipio")).alias("nome_municipio_formatado"),
-        "_source",
         *[measure(public, name).alias(name) for name in C.DISTORTION_MEASURES],
     )
     keys = ["id_municipio", "ano", "nome_municipio_formatado"]
     means = [F.avg(name).alias(name) for name in C.DISTORTION_MEASURES]
-    # files are averaged one by one, then united
-    return drop_null_keys(rows, keys).groupBy(*keys, "_source").agg(*means).drop("_source")
+    # a yearly file is a year's rows, in as many part files as it was written
+    return drop_null_keys(rows, keys).groupBy(*keys).agg(*means)

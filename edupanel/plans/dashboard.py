@@ -6,13 +6,14 @@ never shown, as in a choice of all listed states.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edupanel import config as C
 from edupanel.functions import fixed_decimals, matches, thousands
+from edupanel.functions.numbers import nan_to_null
 from edupanel.operators import densify, drop_null_keys, wide_by_value
 from edupanel.sources import write_csv
 
@@ -165,8 +166,14 @@ def context_by_segment(
 
 def context_dense(context: DataFrame, segment: str, labels: Sequence[str]) -> DataFrame:
     """The context with a null row for every empty pair of segment and status."""
-    dims = {segment: labels, "status_projeto": C.STATUS_LABELS}
-    filled = densify(context.drop(f"{segment}_ord"), dims)
+    return dense(context, segment, labels, {"status_projeto": C.STATUS_LABELS})
+
+
+def dense(
+    grouped: DataFrame, segment: str, labels: Sequence[str], others: Mapping[str, Sequence[object]]
+) -> DataFrame:
+    """Any answer by segment with a null row for every combination of labels without rows."""
+    filled = densify(grouped.drop(f"{segment}_ord"), {segment: labels, **others})
     position = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(segment))
     return filled.withColumn(f"{segment}_ord", position.cast("int"))
 
@@ -194,6 +201,9 @@ def scatter_points(
     panel: DataFrame, x: str, y: str, year: int, states: Sequence[str] | None = None
 ) -> DataFrame:
     """Points with both axes present, for places with projects to be drawn last."""
+    unknown = [axis for axis in (x, y) if axis not in C.SCATTER_AXES]
+    if unknown:
+        raise ValueError(f"no axes: {unknown}; choose from {list(C.SCATTER_AXES)}")
     rows = year_and_states(panel, year, states).na.drop(subset=[x, y])
     return rows.select(
         NAME, F.col(x).alias("x"), F.col(y).alias("y"), "populacao", "status_projeto",
@@ -207,10 +217,15 @@ def draw_order(points: DataFrame) -> DataFrame:
 
 
 def correlation_by_year(panel: DataFrame, x: str, y: str) -> DataFrame:
-    """Correlation coefficient of two columns by year and project status."""
+    """Correlation coefficient of two columns by year and project status.
+
+    Null where an axis is constant or holds an infinite value.
+    """
     rows = drop_null_keys(panel, [x, y, "ano"])
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
     return rows.groupBy("ano", "status_projeto").agg(
-        F.corr(x, y).alias("correlacao"), F.count(F.lit(1)).alias("pontos")
+        nan_to_null(F.try_divide(F.covar_pop(x, y), spread)).alias("correlacao"),
+        F.count(F.lit(1)).alias("pontos"),
     )
 
 

@@ -122,7 +122,7 @@ def test_gdp_population_missing_values_and_replication(spark):
     assert sorted(r.ano for r in literal.collect()) == [2022, 2023, 2023, 2024, 2025]
 
 
-def test_distortion_averages_each_file_on_its_own(spark):
+def test_distortion_does_not_depend_on_how_files_are_cut(spark):
     raw = spark.createDataFrame(
         [
             ("2019", "1", "A", "Pública", "10", "1", None, "f1"),
@@ -139,9 +139,21 @@ def test_distortion_averages_each_file_on_its_own(spark):
     assert treated.columns == [
         "id_municipio", "ano", "nome_municipio_formatado", *C.DISTORTION_MEASURES
     ]
-    assert rows(treated) == [
-        (1, 2019, "A", 15.0, 1.0, None), (1, 2019, "A", 90.0, 5.0, 5.0)
-    ]
+    assert rows(treated) == [(1, 2019, "A", 40.0, 3.0, 5.0)]
+
+
+def test_years_from_float_columns_and_notes_below_the_table(spark):
+    names = list(C.GDP_NAMES)
+    data = [("2021.0", "N", "1", "A", "PB", "10", "2"), ("Fonte: IBGE", None, None, None, None, None, None)]
+    raw = spark.createDataFrame(data, ", ".join(f"`{n}` string" for n in names))
+    assert [(r.ano, r.populacao) for r in clean.clean_gdp_base(raw).collect()] == [(2021, 5000.0)]
+
+
+def test_keep_first_goes_by_file_then_row(spark):
+    data = [("1", "x", "r", "5", "later", 1, "b.csv"), ("1", "x", "r", "5", "first", 95, "a.csv")]
+    raw = spark.createDataFrame(
+        data, ", ".join(f"`{n}` string" for n in C.TERRITORY_NAMES) + ", _row long, _source string")
+    assert [r.nome_municipio_formatado for r in clean.clean_territory(raw).collect()] == ["FIRST"]
 
 
 def test_numeric_measures_lose_nan_only(spark):

@@ -238,7 +238,8 @@ ORACLE: dict[str, str] = {
     # projections and filters
     "rename_map": """SELECT CAST(o.ano AS INTEGER) AS ano, r_name AS regiao,
         CAST(c_custkey AS VARCHAR) AS id_municipio, c_name AS nome_municipio, n_name AS sg_uf,
-        o.total AS pib_mil_reais
+        o.total AS pib_mil_reais,
+        CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS VARCHAR) ELSE '-' END AS pib_per_capita
         FROM (SELECT o_custkey, year(o_orderdate) AS ano,
                      CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
               FROM orders GROUP BY 1, 2) o
@@ -402,6 +403,31 @@ ORACLE: dict[str, str] = {
     "corr_by_year": sql(f"""SELECT ano, status_projeto,
         {r('corr(pib_mil_reais, ideb_nota)', 6)} AS correlacao, count(*) AS pontos FROM serving
         WHERE pib_mil_reais IS NOT NULL AND ideb_nota IS NOT NULL GROUP BY 1, 2""", "serving"),
+    "corr_by_year_axes": sql("\nUNION ALL ".join(f"""SELECT ano, status_projeto,
+        CASE WHEN var_pop({x}) > 0 AND var_pop(ideb_nota) > 0
+          THEN {r(f'covar_pop({x}, ideb_nota) / (stddev_pop({x}) * stddev_pop(ideb_nota))', 6)} END AS correlacao,
+        count(*) AS pontos, '{x}' AS eixo FROM serving
+        WHERE {x} IS NOT NULL AND ideb_nota IS NOT NULL GROUP BY 1, 2"""
+        for x in C.SCATTER_AXES[1:]), "serving"),
+    "impact_score_dense": sql(f"""SELECT b.label AS faixa_pib, b.ord AS faixa_pib_ord, y.ano,
+        st.label AS status_projeto, {r('avg(ideb_nota)')} AS ideb_nota
+        FROM (VALUES ('PIB Baixo', 1), ('PIB Médio-Baixo', 2), ('PIB Médio-Alto', 3),
+                     ('PIB Alto', 4)) b(label, ord)
+        CROSS JOIN (VALUES ('Com Projetos'), ('Sem Projetos')) st(label)
+        CROSS JOIN (VALUES ({FIRST_YEAR}), ({YEAR})) y(ano)
+        LEFT JOIN serving s ON faixa_pib = b.label AND status_projeto = st.label AND s.ano = y.ano
+          AND sg_uf IS NOT NULL GROUP BY 1, 2, 3, 4""", "serving"),
+    "impact_variation_dense": sql(f"""SELECT l.label AS faixa_populacao,
+        l.ord AS faixa_populacao_ord, st.label AS status_projeto,
+        {r(f'avg(v.change)')} AS variacao
+        FROM (VALUES ('Pequeno Porte', 1), ('Médio Porte', 2), ('Grande Porte', 3),
+                     ('Metrópole', 4)) l(label, ord)
+        CROSS JOIN (VALUES ('Com Projetos'), ('Sem Projetos')) st(label)
+        LEFT JOIN (SELECT a.faixa_populacao AS f, a.status_projeto AS s, b.{RATE} - a.{RATE} AS change
+          FROM serving a JOIN serving b ON a.id_municipio = b.id_municipio
+           AND a.faixa_populacao = b.faixa_populacao AND a.status_projeto = b.status_projeto
+          WHERE a.ano = {FIRST_YEAR} AND b.ano = {YEAR} AND a.sg_uf IS NOT NULL) v
+        ON v.f = l.label AND v.s = st.label GROUP BY 1, 2, 3""", "serving"),
     "detail_table": sql(f"""SELECT {DETAIL}, tem_projeto FROM serving WHERE {pairs(YEAR)}
         AND regexp_matches({NAME}, '{NAME_QUERY}', 'i')""", "serving"),
     # exploration

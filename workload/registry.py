@@ -88,7 +88,8 @@ def scan_header_offset(spark, sf_dir):
 def scan_multi_file(spark, sf_dir):
     orders = S.orders(spark, sf_dir).select("o_orderkey", "ano", "o_orderpriority")
     paths = []
-    for year in range(1995, 2002):
+    # as many files as the data has years
+    for (year,) in orders.select("ano").distinct().collect():
         paths.append(new_path(spark, f"sheets-{year}"))
         _write_sheets(orders.where(F.col("ano") == year), paths[-1], C.DISTORTION_SKIP)
     raw = scan_table(
@@ -107,7 +108,7 @@ def scan_multi_sheet(spark, sf_dir):
     orders.write.partitionBy("_sheet").csv(path, header=True)
     raw = scan_table(
         spark, "orders", path, ["o_orderkey", "o_totalprice"], "csv",
-        sheets_named=[str(y) for y in range(1995, 2002)],
+        sheets_named=[str(r.ano) for r in S.orders(spark, sf_dir).select("ano").distinct().collect()],
     )
     return raw.select(
         F.col("o_orderkey").cast("long"),
@@ -123,7 +124,7 @@ def scan_workbook(spark, sf_dir):
     customer = S.table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_acctbal", F.col("c_mktsegment").alias("_sheet")
     )
-    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    segments = sorted(r[0] for r in customer.select("_sheet").distinct().collect())
     workbooks.write_all(customer, path, segments, C.SCORE_SKIP)
     raw = scan_table(
         spark, "customer", path, ["c_custkey", "c_acctbal"], "sheet",
@@ -199,7 +200,7 @@ def profile_panel(spark, sf_dir):
 # --- projections and filters -------------------------------------------------------------
 @query
 def rename_map(spark, sf_dir):
-    return S.raw_gdp(spark, sf_dir).withColumnsRenamed(C.GDP_NAMES).drop("pib_per_capita")
+    return S.raw_gdp(spark, sf_dir).withColumnsRenamed(C.GDP_NAMES)
 
 
 @query
@@ -560,6 +561,33 @@ def corr_by_year(spark, sf_dir):
     return rounded(correlation, "correlacao", digits=6)
 
 
+@query
+def corr_by_year_axes(spark, sf_dir):
+    """Every axis against the score; one of them is constant where there are no projects."""
+    serving = S.stored_serving(spark, sf_dir)
+    found = None
+    for axis in C.SCATTER_AXES[1:]:
+        one = D.correlation_by_year(serving, axis, SCORE).withColumn("eixo", F.lit(axis))
+        found = one if found is None else found.unionByName(one)
+    return rounded(found, "correlacao", digits=6)
+
+
+@query
+def impact_score_dense(spark, sf_dir):
+    serving = S.stored_serving(spark, sf_dir)
+    impact = D.impact_score(serving, GDP_SEGMENT, FIRST_YEAR, YEAR)
+    others = {"ano": (FIRST_YEAR, YEAR), "status_projeto": C.STATUS_LABELS}
+    return rounded(D.dense(impact, GDP_SEGMENT, C.GDP_BANDS, others), SCORE)
+
+
+@query
+def impact_variation_dense(spark, sf_dir):
+    serving = S.stored_serving(spark, sf_dir)
+    change = D.impact_variation(serving, SIZE_SEGMENT, FIRST_YEAR, YEAR)
+    others = {"status_projeto": C.STATUS_LABELS}
+    return rounded(D.dense(change, SIZE_SEGMENT, C.POPULATION_BANDS, others), "variacao")
+
+
 @query
 def detail_table(spark, sf_dir):
     return D.detail_table(S.stored_serving(spark, sf_dir), YEAR, search=NAME_QUERY)

@@ -174,7 +174,6 @@ def raw_distortion(spark, sf_dir) -> DataFrame:
         "FUN_CAT_0",
         "FUN_AI_CAT_0",
         "FUN_AF_CAT_0",
-        F.format_string("%d", F.col("ano")).alias("_source"),
     )
 
 
