@@ -7,9 +7,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 
-from edupanel.llm import queries as Q
+from edupanel.llm import lattice_lm as LM, queries as Q
 
 SF = "/root/testdata/sf0.001"
 BOTH = [SF, "/root/testdata/sf0.01"]
@@ -185,3 +186,35 @@ def test_url_rules(spark, sf):
         assert rule or r.verdict == ("block" if r.reject_probability > 0.5 else "allow")
         kinds.add((rule is None, r.verdict))
     assert {(False, "allow"), (False, "block")} <= kinds
+
+
+def test_lattice_sums_all_segmentations():
+    log_p = {f"<0x{b:02X}>": math.log(0.0005) for b in range(256)}
+    log_p |= {p: math.log(w) for p, w in {"▁": 0.1, "a": 0.2, "ab": 0.15, "b": 0.05, "▁a": 0.07, "</s>": 0.1}.items()}
+    lattice = LM.Lattice(log_p)
+
+    def ways(text):
+        """(probability, pieces) of every segmentation."""
+        if not text:
+            return [(1.0, ())]
+        heads = [(math.exp(log_p[text[:n]]), (text[:n],), n) for n in range(1, len(text) + 1) if text[:n] in log_p]
+        if text[0] not in log_p:
+            spelt = tuple(f"<0x{b:02X}>" for b in text[0].encode())
+            heads.append((0.0005 ** len(spelt), spelt, 1))
+        return [(p * q, x + y) for p, x, n in heads for q, y in ways(text[n:])]
+
+    found = [b"", b"a", b"abab", "aéb".encode(), b"</s>", b"<0x0A>a", "日".encode() * 3]
+    counts = [2, 1, 3, 1, 1, 2, 1]
+    expected, totals = Counter(), []
+    for word, count in zip(found, counts):
+        mine = [(p, x) for p, x in ways("▁" + word.decode()) if "</s>" not in x]
+        if b"<0x" in word:  # byte pieces spell bytes, not their own names
+            mine = [(p, x) for p, x in mine if "<0x0A>" not in x]
+        totals.append(sum(p for p, _ in mine))
+        for p, pieces in mine:
+            for piece in pieces:
+                expected[piece] += count * p / totals[-1]
+    assert lattice.score(found) == pytest.approx([math.log10(p) for p in totals], rel=1e-12)
+    seen = np.zeros(len(log_p))
+    lattice.expect(found, np.array(counts), seen)
+    assert dict(zip(lattice.pieces, seen)) == pytest.approx({p: expected[p] for p in log_p}, abs=1e-9)
