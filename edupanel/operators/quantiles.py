@@ -15,19 +15,20 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edupanel.session import stage
+
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 # number of a cell, never decreasing with v: quarter octaves on either side of 0
 OCTAVE_CELL = """CAST(signum(v) * CASE WHEN v = 0 THEN 0 WHEN abs(v) = double('inf') THEN 1000000
     ELSE floor(log2(abs(v)) * 4) + 4400 END AS INT)"""
 SPLITS = 4096
-# rows whose values may be returned to the driver; beyond it the cells are split again
-DIRECT_ROWS = 200_000
-# values of a partition column, each of which has its own edges
-MAX_PARTS = 200
+# rows whose values may be returned to the driver; beyond it the cells are split again. Only the
+# number of rounds depends on it
+DIRECT_ROWS = 8_192
 
 
 class DuplicateEdgesError(ValueError):
@@ -114,38 +115,123 @@ def quantile_bands(
     stays null. Finding the edges is an action, the bands themselves are a plain CASE. Edges
     that coincide leave fewer bands than labels: that is an error, or with ``skip`` the
     band columns are left out. Edges are those of all rows together, or with
-    ``partition_by`` (a column of few values, such as the year) of each value's rows.
+    ``partition_by`` of each value's rows; the edges are then a table joined on that value,
+    rows without a value get no band, and the rounds do not depend on how many values there are.
     """
     if on_duplicate_edges not in ("raise", "skip"):
         raise ValueError("on_duplicate_edges must be 'raise' or 'skip'")
-    if partition_by is None:
-        parts = {"TRUE": df}
-    else:
-        parts = _parts(df, partition_by)
-    edges = {where: _edges(part, bands, method) for where, part in parts.items()}
+    if partition_by is not None:
+        return _keyed_bands(df, bands, on_duplicate_edges, method, partition_by)
+    edges = _edges(df, bands, method)
     added: dict[str, Column] = {}
     for column, out, labels in bands:
-        cuts = {where: found[column, len(labels)] for where, found in edges.items()}
-        broken = [cut for cut in cuts.values() if cut is None or len(set(cut)) < len(cut)]
+        cut = edges[column, len(labels)]
+        broken = cut is None or len(set(cut)) < len(cut)
         if broken and on_duplicate_edges == "skip":
             continue
         if broken:
-            raise DuplicateEdgesError(f"{column}: edges {broken[0]} do not form {len(labels)} bands")
-        added[out] = _band(column, cuts, [_text(label) for label in labels])
-        added[f"{out}_ord"] = _band(column, cuts, [str(k + 1) for k in range(len(labels))])
+            raise DuplicateEdgesError(f"{column}: edges {cut} do not form {len(labels)} bands")
+        limits = [_number(edge) for edge in cut[1:]]
+        added[out] = _band(column, limits, [_text(label) for label in labels])
+        added[f"{out}_ord"] = _band(column, limits, [str(k + 1) for k in range(len(labels))])
     return df.withColumns(added) if added else df
 
 
-def _parts(df: DataFrame, column: str) -> dict[str, DataFrame]:
-    """Rows of each value by condition; a stored table is read one folder at a time."""
-    found = df.select(column).na.drop().distinct().limit(MAX_PARTS + 1).collect()
-    if len(found) > MAX_PARTS:
-        raise ValueError(f"{column} has more than {MAX_PARTS} values")
-    conditions = [
-        f"{_name(column)} = " + (_text(v) if isinstance(v, str) else str(v))
-        for v in sorted(row[0] for row in found)
+def _keyed_bands(df: DataFrame, bands, on_duplicate_edges: str, method: str, part: str) -> DataFrame:
+    find = {"exact": _keyed_quantiles, "approx": _keyed_approximate}[method]
+    edges = stage(find(df, part, bands), "edges")
+    values = df.select(F.col(_name(part)).alias("_p")).na.drop().distinct()
+    broken = [
+        F.count_if(F.expr(f"_e{i} IS NULL OR size(array_distinct(_e{i})) < size(_e{i})")).alias(f"b{i}")
+        for i in range(len(bands))
+    ]
+    counts = values.join(edges, "_p", "left").agg(F.count("*").alias("parts"), *broken).first()
+    added: dict[str, Column] = {}
+    for i, (column, out, labels) in enumerate(bands):
+        if counts[f"b{i}"] and on_duplicate_edges == "skip":
+            continue
+        if counts[f"b{i}"]:
+            raise DuplicateEdgesError(
+                f"{column}: edges of {counts[f'b{i}']} values of {part} do not form {len(labels)} bands")
+        limits = [f"_e{i}[{k + 1}]" for k in range(len(labels))]
+        added[out] = _band(column, limits, [_text(label) for label in labels])
+        added[f"{out}_ord"] = _band(column, limits, [str(k + 1) for k in range(len(labels))])
+    if not added:
+        return df
+    joined = df.join(edges, df[_name(part)] == edges["_p"], "left")
+    return joined.withColumns(added).select(*[_name(c) for c in df.columns], *added)
+
+
+def _keyed_approximate(df: DataFrame, part: str, bands) -> DataFrame:
+    wanted = [
+        F.percentile_approx(
+            F.when(~F.isnan(_name(column)), F.col(_name(column)).cast("double")),
+            [k / len(labels) for k in range(len(labels) + 1)], 10_000,
+        ).alias(f"_e{i}")
+        for i, (column, _, labels) in enumerate(bands)
     ]
-    return {condition: df.where(condition) for condition in conditions}
+    return df.where(F.col(_name(part)).isNotNull()).groupBy(F.col(_name(part)).alias("_p")).agg(*wanted)
+
+
+def _keyed_quantiles(df: DataFrame, part: str, bands) -> DataFrame:
+    """(_p, _e0, _e1, ...): the edges of each value of ``part``, an array per band column.
+
+    The rounds of ``exact_quantiles`` for all values at once, on tables: cells are counted per value
+    and column, those that hold a wanted rank are joined back to the rows and split.
+    """
+    values = [f"CAST({_name(column)} AS DOUBLE)" for column, _, _ in bands]
+    named = df.where(F.col(_name(part)).isNotNull()).select(F.col(_name(part)).alias("_p"), "*")
+    items = ", ".join(f"struct({i} AS c, {v} AS v)" for i, v in enumerate(values))
+    rows = named.selectExpr("_p", f"inline(array({items}))").where("v IS NOT NULL AND NOT isnan(v)")
+    cell = [F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n")]
+    octaves = rows.groupBy("_p", "c", F.expr(OCTAVE_CELL).alias("cell")).agg(*cell)
+    before = Window.partitionBy("_p", "c").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below")
+    cells = stage(octaves.select("_p", "c", "low", "high", "n", below), "cells")
+
+    sizes = cells.groupBy("_p", "c").agg(F.sum("n").alias("total"))
+    shares = {i: [k / len(labels) for k in range(len(labels) + 1)] for i, (_, _, labels) in enumerate(bands)}
+    ranks = " ".join(
+        f"WHEN {i} THEN array({', '.join(f'{f}((total - 1) * {_number(q)})' for q in found for f in ('floor', 'ceil'))})"
+        for i, found in shares.items()
+    )
+    wanted = sizes.selectExpr("_p", "c", "total", f"explode(array_distinct(CASE c {ranks} END)) AS rank")
+    known = None
+    while True:
+        held = cells.join(wanted, ["_p", "c"]).where("rank >= below AND rank < below + n")
+        value = "CASE WHEN rank = below OR low = high THEN low WHEN rank = below + n - 1 THEN high END AS v"
+        held = stage(held.selectExpr("_p", "c", "total", "rank", "low", "high", "below", value), "ranks")
+        found = held.where("v IS NOT NULL").select("_p", "c", "total", "rank", "v")
+        known = found if known is None else known.union(found)
+        wanted = held.where("v IS NULL").select("_p", "c", "total", "rank")
+        if wanted.isEmpty():
+            break
+        # at most two ranks an edge, so a value's rows meet a handful of open cells
+        opened = held.where("v IS NULL").select("_p", "c", "low", "high", "below").distinct()
+        inside = rows.join(opened, ["_p", "c"]).where("v >= low AND v <= high")
+        split = F.expr(f"least(floor((v - low) / (high - low) * {SPLITS}), {SPLITS - 1})")
+        parts = inside.groupBy("_p", "c", "below", split.alias("cell")).agg(*cell)
+        before = Window.partitionBy("_p", "c", "below").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        below = (F.col("below") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("below")
+        cells = stage(parts.select("_p", "c", "low", "high", "n", below), "cells")
+
+    at = known.groupBy("_p", "c").agg(
+        F.max("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
+    edges = [
+        F.max(F.when(F.col("c") == i, F.array(*[F.expr(_between(q)) for q in found]))).alias(f"_e{i}")
+        for i, found in shares.items()
+    ]
+    return at.groupBy("_p").agg(*edges)
+
+
+def _between(share: float) -> str:
+    """``_interpolate`` as SQL over the map of values by rank."""
+    position = f"((total - 1) * {_number(share)})"
+    low, high = f"at[floor({position})]", f"at[ceil({position})]"
+    part = f"({position} - floor({position}))"
+    return f"""CASE WHEN {part} = 0 OR {low} = {high} THEN {low} WHEN abs({low}) = double('inf') THEN {low}
+        WHEN abs({high}) = double('inf') THEN {high}
+        WHEN {part} < 0.5D THEN {low} + ({high} - {low}) * {part} ELSE {high} - ({high} - {low}) * (1 - {part}) END"""
 
 
 def _edges(df: DataFrame, bands, method: str) -> dict[tuple[str, int], list[float] | None]:
@@ -173,12 +259,8 @@ def _text(label: str) -> str:
     return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _band(column: str, cuts: dict[str, list[float]], results: Sequence[str]) -> Column:
-    cases = [
-        f"WHEN {where} AND {_name(column)} <= {_number(edge)} THEN {result}"
-        for where, edges in cuts.items()
-        for edge, result in zip(edges[1:], results)
-    ]
+def _band(column: str, limits: Sequence[str], results: Sequence[str]) -> Column:
+    cases = [f"WHEN {_name(column)} <= {limit} THEN {result}" for limit, result in zip(limits, results)]
     return F.expr(f"CASE {' '.join(cases)} END")
 
 

@@ -9,14 +9,16 @@ lie elsewhere, e.g. ``--distortion 'data/raw/INEP/TDI_MUNICIPIOS_*.xlsx'``.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from edupanel import config as C
+from edupanel.operators import check_unique
 from edupanel.plans import clean, panel
-from edupanel.session import get_spark, stage
+from edupanel.session import drop_staged, get_spark, stage
 from edupanel.sources import read_table, scan_table, write_table
 
 
@@ -37,8 +39,17 @@ class RawPaths:
         return cls(*[f"{folder.rstrip('/')}/{name}" for name in names], fmt=fmt)
 
 
-def scan_raw(spark: SparkSession, raw: RawPaths) -> dict[str, DataFrame]:
-    """The five raw tables, lazily; missing paths or columns fail with the table's name."""
+class DuplicateKeysError(ValueError):
+    """A join would multiply rows: its right side holds a key more than once."""
+
+
+def scan_raw(
+    spark: SparkSession, raw: RawPaths, project_sheets: Sequence[str] = C.PROJECT_SHEETS
+) -> dict[str, DataFrame]:
+    """The five raw tables, lazily; missing paths or columns fail with the table's name.
+
+    Project sheets are those of the workbooks, or CSV exports whose names end in the year.
+    """
     dashes = C.DEFAULT_NA_TOKENS + C.DASH_NA_TOKENS
     notes = [f"{C.SCORE_SOURCE_PREFIX}{y}" for y in C.SCORE_YEARS]
     layout = {
@@ -56,7 +67,8 @@ def scan_raw(spark: SparkSession, raw: RawPaths) -> dict[str, DataFrame]:
     projects = scan_table(
         spark, "projects", raw.projects, list(C.PROJECT_NAMES), raw.fmt,
         skip_rows=C.PROJECT_SKIP if raw.fmt == "sheet" else 0, na_tokens=dashes,
-        sheets_named=C.PROJECT_SHEETS,
+        sheets_named=project_sheets,
+        **({"sheetPattern": r"(\d{4})\D*$"} if raw.fmt == "sheet" else {}),
     )
     # the sheet name is the year
     tables["projects"] = projects.withColumnRenamed("_sheet", "ano")
@@ -69,26 +81,35 @@ def run(
     out: str,
     state_names: Mapping[str, str] | None = None,
     target_years: list[int] | None = None,
+    until: int = C.GDP_REPLICATE_UNTIL,
 ) -> DataFrame:
     """Clean the raw tables, write the treated ones, join and write the panel.
 
     Each treated table is written once and read back for the joins. The GDP base is staged
-    before its last year is found, so the raw GDP is read and cleaned once.
+    before its last year is found, so the raw GDP is read and cleaned once; the staged copy is
+    deleted. Score and distortion rows that share place and year are an error.
     """
     out = out.rstrip("/")
     base = stage(clean.clean_gdp_base(tables["gdp"]), "gdp-base")
-    until = None if target_years is not None else C.GDP_REPLICATE_UNTIL
     treated = {
         C.TABLE_TERRITORY: clean.clean_territory(tables["territory"]),
         C.TABLE_SCORE: clean.clean_score(tables["score"]),
         C.TABLE_PROJECTS: clean.clean_projects(tables["projects"], state_names),
-        C.TABLE_GDP: clean.replicate_forward(base, target_years=target_years, until=until),
+        C.TABLE_GDP: clean.replicate_forward(
+            base, target_years=target_years, until=None if target_years is not None else until
+        ),
         C.TABLE_DISTORTION: clean.clean_distortion(tables["distortion"]),
     }
     stored = {}
     for name, df in treated.items():
         write_table(df, f"{out}/{name}")
         stored[name] = read_table(spark, name, f"{out}/{name}", df.schema)
+    drop_staged(base)
+    # the other right sides hold one row per key by the way they are made
+    for name in (C.TABLE_SCORE, C.TABLE_DISTORTION):
+        twice = check_unique(stored[name], ["id_municipio", "ano"]).first()
+        if twice.duplicate_keys:
+            raise DuplicateKeysError(f"{name}: {twice.duplicate_keys} places have a year more than once")
     joined = panel.join_panel(
         stored[C.TABLE_GDP], stored[C.TABLE_SCORE], stored[C.TABLE_TERRITORY],
         stored[C.TABLE_PROJECTS], stored[C.TABLE_DISTORTION],
@@ -112,6 +133,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="sheet", choices=["sheet", "csv", "parquet"])
     for name in ("territory", "score", "projects", "gdp", "distortion"):
         parser.add_argument(f"--{name}", help=f"path of {name} outside the raw folder")
+    parser.add_argument("--target-years", type=int, nargs="+", help="years to repeat the last GDP year for")
+    parser.add_argument("--until", type=int, default=C.GDP_REPLICATE_UNTIL, help="repeat the last GDP year up to this one")
+    parser.add_argument("--project-sheets", nargs="+", default=list(C.PROJECT_SHEETS), help="project years to read")
+    parser.add_argument("--states", type=json.loads, help="state names by code, as JSON text")
     args = parser.parse_args(argv)
     standard = RawPaths.under(args.raw, args.format)
     raw = RawPaths(
@@ -122,7 +147,8 @@ def main(argv: list[str] | None = None) -> None:
         fmt=args.format,
     )
     spark = get_spark("edupanel-job")
-    run(spark, scan_raw(spark, raw), args.out)
+    tables = scan_raw(spark, raw, args.project_sheets)
+    run(spark, tables, args.out, args.states, args.target_years, args.until)
 
 
 if __name__ == "__main__":

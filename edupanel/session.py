@@ -63,3 +63,14 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    folder = shared_dir(spark)
+    configured = spark.sparkContext._jsc.hadoopConfiguration()
+    path_type = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in {f.split(folder, 1)[1].strip("/").split("/")[0] for f in df.inputFiles() if folder in f}:
+        path = path_type(f"{folder}/{name}")
+        path.getFileSystem(configured).delete(path, True)

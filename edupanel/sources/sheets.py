@@ -16,6 +16,7 @@ import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.csv as pacsv
 import pyarrow.fs as pafs
@@ -65,6 +66,19 @@ def list_files(paths: list[str]) -> list[tuple[str, int]]:
     return found
 
 
+def _check_lines(data: bytes, path: str) -> None:
+    """Every line holds an even number of quotes, so none ends within a field.
+
+    The first line of a record with a line break in a field never does; the check finds it in
+    whichever range it starts, so the outcome is the same however the file is cut.
+    """
+    text = np.frombuffer(data, np.uint8)
+    quotes = np.flatnonzero(text == 34)
+    ends = np.append(np.flatnonzero(text == 10), len(text))
+    if (np.searchsorted(quotes, ends) % 2).any():
+        raise ValueError(f"{path}: a line ends within quotes; read it with multiline='true'")
+
+
 class Part(InputPartition):
     def __init__(self, path: str, start: int, end: int, sheet: str | None):
         super().__init__((path, start, end, sheet))
@@ -86,6 +100,8 @@ class OffsetSheetReader(DataSourceReader):
         self.sheets = json.loads(options.get("sheets", "null"))
         self.skip = int(options.get("skiprows", "0"))
         self.separator = options.get("sep", ",")
+        # the sheet a CSV export holds: what the pattern's group finds in the file's name
+        self.sheet_pattern = re.compile(options.get("sheetpattern", r"^(.*)$"))
         self.multiline = options.get("multiline", "false") == "true"
         self.split_bytes = int(options.get("splitbytes", str(64 << 20)))
         self.names = [n for n in names if n not in ("_row", "_source", "_sheet")]
@@ -94,19 +110,33 @@ class OffsetSheetReader(DataSourceReader):
         )
 
     def partitions(self):
-        parts = []
+        parts, exported, workbooks = [], set(), False
         for path, size in list_files(self.paths):
             if path.lower().endswith(".xlsx"):
-                sheets = self.sheets or [None]
+                sheets, workbooks = self.sheets or [None], True
                 parts += [Part(path, 0, size, sheet) for sheet in sheets]
             elif path.lower().endswith(".xls"):
                 raise ValueError(f"{path}: export binary .xls files to .xlsx, CSV or Parquet")
             else:
+                sheet = self._exported_sheet(path)
+                if self.sheets is not None and sheet not in self.sheets:
+                    continue
+                exported.add(sheet)
                 step = max(size, 1) if self.multiline else self.split_bytes
                 starts = range(0, size, step)
-                parts += [Part(path, s, min(s + step, size), None) for s in starts]
+                parts += [Part(path, s, min(s + step, size), sheet) for s in starts]
+        missing = sorted(set(self.sheets or []) - exported)
+        if missing and not workbooks:
+            raise ValueError(f"{self.paths} has no sheet {missing[0]}")
         return parts or [Part("", 0, 0, None)]
 
+    def _exported_sheet(self, path: str) -> str | None:
+        """The sheet of a CSV export where sheets are asked for by name."""
+        if self.sheets is None:
+            return None
+        found = self.sheet_pattern.search(posixpath.splitext(posixpath.basename(path))[0])
+        return found[1] if found else None
+
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
         if not part.path:
             return
@@ -167,6 +197,8 @@ class OffsetSheetReader(DataSourceReader):
             data = f.read(end - start)
         if not data.strip():
             return
+        if not self.multiline:
+            _check_lines(data, part.path)
         batches = pacsv.open_csv(
             pa.BufferReader(data),
             read_options=pacsv.ReadOptions(column_names=header, block_size=8 << 20),

@@ -42,8 +42,9 @@ def scan_table(
     ``sheet`` reads CSV exports or workbooks with rows above the header. ``parquet`` and
     ``csv`` read a landing zone that already carries ``_row`` (and ``_sheet``). A missing
     path or column is an error; fields equal to a token of ``na_tokens`` become null. CSV
-    exports are cut at line breaks; where fields hold line breaks, ``multiline="true"`` reads
-    each file in one piece.
+    exports are cut at line breaks; where fields hold line breaks they fail, and ``multiline="true"``
+    reads each file in one piece. With ``sheets_named`` the sheet of a CSV export is its file's name,
+    or the group of the option ``sheetPattern``; a named sheet without a file is an error.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "sheet":
@@ -74,7 +75,9 @@ def _scan_sheets(spark, table, paths, columns, skip_rows, sheets_named, options)
 
 
 def _scan_landing(spark, table, paths, columns, fmt, sheets_named, options) -> DataFrame:
-    reader = spark.read.options(header="true", **options) if fmt == "csv" else spark.read
+    # columns go by position, so a file with another header has to fail, not swap them
+    strict = {"header": "true", "enforceSchema": "false"}
+    reader = spark.read.options(**{**strict, **options}) if fmt == "csv" else spark.read
     try:
         raw = reader.format(fmt).load(paths)
     except AnalysisException as error:

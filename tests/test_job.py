@@ -114,6 +114,31 @@ def test_missing_raw_file_names_the_table(spark, raw):
         job.scan_raw(spark, paths)
 
 
+def test_projects_from_csv_exports(spark, raw, built, tmp_path):
+    header, data = list(C.PROJECT_NAMES), [[f"Município {n}", "PB" if n % 2 else "RN", 1, 2, 30 * n] for n in range(1, 5)]
+    for year in C.PROJECT_SHEETS:
+        write_csv(tmp_path / "projects" / f"projetos {year}.csv", C.PROJECT_SKIP, header, data)
+    paths = replace(job.RawPaths.under(str(raw)), projects=str(tmp_path / "projects"))
+    panel = job.run(spark, job.scan_raw(spark, paths), str(tmp_path / "out"))
+    before = job.load_panel(spark, built[0])
+    assert sorted(map(tuple, panel.collect()), key=repr) == sorted(map(tuple, before.collect()), key=repr)
+
+
+def test_a_place_twice_in_a_year_fails(spark, raw, tmp_path):
+    tables = job.scan_raw(spark, job.RawPaths.under(str(raw)))
+    tables["score"] = tables["score"].union(tables["score"])
+    with pytest.raises(job.DuplicateKeysError, match="more than once"):
+        job.run(spark, tables, str(tmp_path / "out"))
+
+
+def test_job_parameters(raw, tmp_path, spark):
+    job.main(["--raw", str(raw), "--out", str(tmp_path / "out"), "--until", "2022",
+              "--project-sheets", "2020", "2021", "--states", '{"PB": "Paraíba"}'])
+    panel = job.load_panel(spark, str(tmp_path / "out"))
+    assert panel.count() == 11 * 13
+    assert panel.where("nr_projetos is not null").select("ano").distinct().count() == 2
+
+
 def test_command_line(raw, tmp_path, spark):
     job.main(["--raw", str(raw), "--out", str(tmp_path / "out")])
     assert job.load_panel(spark, str(tmp_path / "out")).count() == 176

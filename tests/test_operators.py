@@ -85,6 +85,27 @@ def test_edges_per_partition(spark):
     assert {(r.ano, r.band) for r in pooled.collect()} == {(1, "A"), (1, "B"), (2, "C"), (2, "D")}
 
 
+def test_edges_of_many_partitions_of_any_type(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SPLITS", 16)  # several rounds
+    data = spark.range(21_000).selectExpr(
+        "date_add(date'2020-01-01', CAST(id % 1000 AS INT)) AS d", "pow(id DIV 1000, 3) + id % 1000 AS x",
+        "CAST(id AS INT) AS id")
+    banded = quantile_bands(data, [("x", "band", "ABCD"), ("id", "half", "LH")], partition_by="d")
+    assert banded.columns == ["d", "x", "id", "band", "band_ord", "half", "half_ord"]
+    expected = [(k, "AAAAAABBBBBCCCCCDDDDD"[k], "LLLLLLLLLLLHHHHHHHHHH"[k], 1000) for k in range(21)]
+    found = banded.selectExpr("id DIV 1000 AS k", "band", "half").groupBy("k", "band", "half").count()
+    assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_edges_of_a_partition_that_coincide(spark):
+    data = spark.createDataFrame([(1, float(n)) for n in range(8)] + [(2, 1.0)] * 5, "g int, x double")
+    with pytest.raises(DuplicateEdgesError, match="1 values of g"):
+        quantile_bands(data, [("x", "band", "ABCD")], partition_by="g")
+    assert quantile_bands(data, [("x", "band", "ABCD")], "skip", partition_by="g").columns == ["g", "x"]
+    near = quantile_bands(data.where("g = 1"), [("x", "band", "AB")], method="approx", partition_by="g")
+    assert near.where("x < 3").distinct().count() == near.where("x < 3 and band = 'A'").count()
+
+
 def test_infinity_falls_in_the_top_band(spark):
     data = column(spark, [1.0, 2.0, 3.0, 4.0, 5.0, float("inf")])
     banded = quantile_bands(data, [("x", "band", "ABCD")])

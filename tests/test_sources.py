@@ -96,6 +96,33 @@ def test_fields_with_line_breaks_and_binary_workbooks(spark, tmp_path):
         scan_table(spark, "t", str(tmp_path / "old.xls"), ["id"], "sheet").collect()
 
 
+def test_quoted_line_breaks_fail_however_the_file_is_cut(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("v\n" + "".join(f'"a{n}"\n' for n in range(200)) + '"a\nb"\nc\n')
+    for size in (20, 300, 1 << 20):
+        with pytest.raises(Exception, match="within quotes"):
+            scan_table(spark, "t", str(path), ["v"], "sheet", splitBytes=str(size)).collect()
+    assert scan_table(spark, "t", str(path), ["v"], "sheet", multiline="true").count() == 202
+
+
+def test_sheet_names_of_csv_exports(spark, tmp_path):
+    for year in (2020, 2021, 2030):
+        (tmp_path / f"projetos_{year}.csv").write_text(f"note\nn\n{year}\n")
+    named = {"skip_rows": 1, "sheetPattern": r"(\d{4})\D*$"}
+    raw = scan_table(spark, "p", str(tmp_path), ["n"], "sheet", sheets_named=["2020", "2021"], **named)
+    assert rows(raw.select("n", "_sheet")) == [("2020", "2020"), ("2021", "2021")]
+    with pytest.raises(Exception, match="has no sheet 2022"):
+        scan_table(spark, "p", str(tmp_path), ["n"], "sheet", sheets_named=["2022"], **named).collect()
+
+
+def test_landing_csv_of_another_column_order_fails(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b,_row\n1,2,0\n")
+    (tmp_path / "2.csv").write_text("b,a,_row\n2,1,0\n")
+    for columns in (["a"], ["a", "b"]):
+        with pytest.raises(Exception, match="(?i)header"):
+            scan_table(spark, "t", str(tmp_path), columns, "csv").collect()
+
+
 def test_missing_columns_and_files(spark, tmp_path):
     (tmp_path / "t.csv").write_text("id\n1\n")
     with pytest.raises(Exception, match="lacks the columns"):
