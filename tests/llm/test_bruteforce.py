@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from edupanel.llm import lattice_lm as LM, queries as Q
+from edupanel.llm import lattice_lm as LM, ngram_join, queries as Q
 
 SF = "/root/testdata/sf0.001"
 BOTH = [SF, "/root/testdata/sf0.01"]
@@ -68,6 +68,23 @@ def test_ngram_join(spark, sf):
     assert len(got) == len(sets) and len(set(expected.values())) < len(sets)
 
 
+def test_variants_around_the_similarity(spark):
+    """Variants of a few texts, most with similarities close to the one asked for, some of other lengths."""
+    draw, texts = np.random.default_rng(5), {}
+    for base in range(3):
+        words_ = [f"b{base}w{i}" for i in range(90 + 40 * base)]
+        for v in range(70):
+            changed = list(words_)
+            for at in draw.choice(len(words_), draw.integers(1, 4 + 2 * base), replace=False):
+                changed[at] = f"x{draw.integers(6)}"
+            texts[len(texts)] = " ".join(changed[:len(changed) - int(draw.integers(0, 25)) * (v % 3 == 0)])
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    expected = components(sets)
+    got = ngram_join.ngram_join(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+    assert 3 < len(set(expected.values())) < len(texts)
+
+
 @pytest.mark.parametrize("sf", BOTH)
 def test_bm25(spark, sf):
     docs = {i: Counter(words(t)) for i, t in rows_of(sf, "documents", "doc_id, text")}
