@@ -8,7 +8,7 @@ from edupanel.llm import crf_quality, exact_dedup, mixing, ngram_join, packing
 from edupanel.llm.queries import tokenizer_file
 from edupanel.session import new_path
 
-#: The fitted models and tokenisation have no SQL; tests compare run() with plain Python.
+#: The fitted models and tokenisation have no SQL; tests compare the stages of copies with plain Python.
 ORACLE_SQL = None
 
 
