@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from edupanel.llm import crf_quality, exact_dedup, mixing, ngram_join, packing
+from edupanel.llm.common import numbered
 from edupanel.llm.queries import tokenizer_file
 from edupanel.session import new_path
 
@@ -12,11 +13,6 @@ from edupanel.session import new_path
 ORACLE_SQL = None
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Whole rows as ``doc`` with a number. Stages read stored tables, whose rows keep their numbers."""
-    return docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"))
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text the line field does not reject."""
     return crf_quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -24,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of equal texts, one with the smallest id."""
-    rows = _numbered(docs)
+    rows = numbered(docs)
     narrow = rows.select("row", "doc.doc_id", "doc.text")
     kept = exact_dedup.exact_dedup(narrow, row_col="row").where("kept").select("row")
     return rows.join(kept, "row", "left_semi").select("doc.*")
@@ -32,7 +28,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every component of near copies, one with the smallest id."""
-    rows = _numbered(docs)
+    rows = numbered(docs)
     found = ngram_join.ngram_join(rows.select("row", "doc.text"), id_col="row")
     found = found.select(F.col("doc_id").alias("row"), "component_id")
     ids = found.join(rows.select("row", "doc.doc_id"), "row")

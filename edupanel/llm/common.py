@@ -14,6 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Whole rows as ``doc`` with a number ``row``, written once.
+
+    The number depends on how Spark cuts the files, which can change between two reads, for one when executors
+    come or go. All who join by it must read this one table, which holds it.
+    """
+    return stage(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+
+
 def text_of(column: str | Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

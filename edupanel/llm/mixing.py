@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edupanel.session import stage
 
-from .common import WORD, text_of
+from .common import WORD, numbered, text_of
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Knots (time, factor) of each weight's course, linear in between; they repeat like the weights.
@@ -107,11 +107,10 @@ def repeat(
 ) -> DataFrame:
     """The mix itself: whole rows of ``docs``, as often as ``mix`` begins them, in training order.
 
-    ``docs`` must be stored, as rows are numbered in two reads. A document that the end of its source's
-    target cuts stays whole. Rows without words are not part of a mix.
+    A numbered copy of the rows is staged. A document that the end of its source's target cuts stays whole. Rows
+    without words are not part of a mix.
     """
-    rows = docs.select(
-        F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"))
+    rows = numbered(docs)
     narrow = rows.select("row", *[F.col("doc")[c].alias(c) for c in dict.fromkeys((id_col, text_col, source_col))])
     placed = _placed(narrow, id_col, text_col, source_col, weights, curriculum, max_repeats, share, "row")
     begun = placed.where("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int") - 1)))

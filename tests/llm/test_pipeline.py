@@ -1,6 +1,9 @@
 """The first stages of the corpus pipeline against plain Python, each on what its predecessor kept."""
 
 import re
+from collections import Counter
+
+import pytest
 
 import corpus_pipeline as P
 
@@ -24,3 +27,27 @@ def test_stages_keep_one_of_each_group(spark, tmp_path):
     roots = components({i: shingle_set(t) for i, t in kept["exact"].items()})
     assert set(kept["near"]) == set(roots.values())
     assert len(kept["near"]) < len(kept["exact"]) < len(kept["quality"])
+
+
+@pytest.mark.parametrize("name", ["exact", "near", "mixing"])
+def test_rows_keep_their_numbers_when_files_are_cut_anew(spark, tmp_path, name):
+    """Files are packed into other tasks once the stage's first actions have run, as when executors are lost."""
+    texts = [" ".join(f"w{i // 2}x{j}" for j in range(20 + i // 2)) for i in range(120)]
+    rows = [(i, t, f"s{i % 3}") for i, t in enumerate(texts)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(40, "doc_id").write.parquet(path)
+    stage = dict(P.STAGES)[name]
+    setting = "spark.sql.files.maxPartitionBytes"
+    whole = spark.conf.get(setting)
+    try:
+        expected = Counter(map(tuple, stage(spark, spark.read.parquet(path), "").collect()))
+        later = stage(spark, spark.read.parquet(path), "")
+        spark.conf.set(setting, "1k")
+        found = Counter(map(tuple, later.collect()))
+    finally:
+        spark.conf.set(setting, whole)
+    assert found == expected
+    if name == "mixing":
+        assert {r[0] for r in found} <= set(range(120)) and len(found) > 60
+    else:
+        assert sorted(found.elements()) == rows[::2]
