@@ -181,14 +181,18 @@ def train(
 ) -> LineCrf | None:
     """Fit on texts (id, text) of ``sample_docs`` marked ids (id, label) of each label, in the order of a hash.
 
-    Ids are drawn before texts are touched; at most twice ``sample_docs`` ids are broadcast to pick the
-    texts. Documents of over ``sample_lines`` lines don't train; both bounds together bound the driver's
-    share. Features are computed on the executors. None without rows.
+    Documents of over ``sample_lines`` lines don't train and are left out before ids are drawn. At most twice
+    ``sample_docs`` ids are broadcast to pick the texts, and of the rows that repeat an id one trains, that
+    with the smallest hash of its text: both bounds together bound the driver's share. Features are
+    computed on the executors. None without rows, so also where all marked documents are longer.
     """
-    there = marks.join(docs.select("id").distinct(), "id")
+    short = docs.where(F.regexp_count("text", F.lit("\n")) < sample_lines)
+    there = marks.join(short.select("id").distinct(), "id")
     drawn = [there.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample_docs) for label in (0, 1)]
-    picked = docs.join(F.broadcast(drawn[0].union(drawn[1])), "id").where(
-        F.size(F.split("text", "\n")) <= sample_lines)
+    # combined per task before the shuffle, so an id that many rows carry is no large group
+    first = F.min(F.struct(F.xxhash64("text"), "text")).alias("first")
+    picked = short.join(F.broadcast(drawn[0].union(drawn[1])), "id").groupBy("label", "id").agg(first).select(
+        "label", "id", "first.text")
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:

@@ -80,6 +80,19 @@ def test_packing_and_scores(spark, docs):
     assert crf_quality.keep(docs, labels.limit(0)).count() == len(DOCS)
 
 
+def test_crf_draws_short_documents_once(spark, monkeypatch):
+    """Most documents are too long to train, and many rows carry one id."""
+    fitted = []
+    monkeypatch.setattr(crf_quality, "fit", lambda chains, marked: fitted.append((chains, marked)))
+    rows = [(i, f"line {i}\n" * (2 if i % 10 < 2 else 9)) for i in range(200)] + [(0, f"copy {i}\nx") for i in range(60)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    marks = spark.createDataFrame([(i, i % 2) for i in range(200)], "id long, label int")
+    crf_quality.train(docs, marks, sample_docs=20, sample_lines=3)
+    chains, marked = fitted[0]
+    assert sorted(marked) == [0] * 20 + [1] * 20 and {len(c) for c in chains} <= {2, 3}
+    assert crf_quality.train(docs, marks, sample_docs=20, sample_lines=1) is None
+
+
 def test_bm25(docs):
     asked = docs.selectExpr("doc_id as query", "text")
     found = bm25.search(docs, asked, k=2).collect()
