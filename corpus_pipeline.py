@@ -9,7 +9,7 @@ from edupanel.llm.common import numbered
 from edupanel.llm.queries import tokenizer_file
 from edupanel.session import new_path
 
-#: The fitted models and tokenisation have no SQL; tests compare the stages of copies with plain Python.
+#: The fitted models and tokenisation have no SQL; tests compare all stages with plain Python.
 ORACLE_SQL = None
 
 

@@ -235,3 +235,24 @@ def test_lattice_sums_all_segmentations():
     seen = np.zeros(len(log_p))
     lattice.expect(found, np.array(counts), seen)
     assert dict(zip(lattice.pieces, seen)) == pytest.approx({p: expected[p] for p in log_p}, abs=1e-9)
+
+
+def test_lattice_scores_of_whole_texts(spark):
+    """Scores are sums over the words and the end, most of the words met in the join of the tail."""
+    path = Q.tokenizer_file("piece_bpe_32k.model")
+    docs = {i: words(t) for i, t in rows_of(SF, "documents", "doc_id, text")}
+    counts = Counter(w for i, ws in docs.items() if crc5(i) != 1 for w in ws)
+    first = LM.vocabulary(path)
+    lattice, seen = LM.Lattice(first), np.zeros(len(first))
+    lattice.expect([w.encode() for w in counts], np.array(list(counts.values())), seen)
+    seen = dict(zip(lattice.pieces, seen))
+    seen[LM.END] = sum(crc5(i) != 1 for i in docs)
+    total = sum(seen.values()) + len(first) / 2
+    log_p = {piece: math.log((seen[piece] + 0.5) / total) for piece in first}
+    kinds = sorted({w for ws in docs.values() for w in ws})
+    each = dict(zip(kinds, LM.Lattice(log_p).score([w.encode() for w in kinds]).tolist()))
+    found = LM.score(spark.read.parquet(f"{SF}/documents.parquet"), path, head_words=20).collect()
+    assert len(found) == len(docs) and len(kinds) > 1000
+    for r in found:
+        expected = math.fsum(each[w] for w in docs[r.doc_id]) + log_p[LM.END] / math.log(10)
+        assert r.score == pytest.approx(expected, rel=1e-9)
