@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bm25, crf_quality, exact_dedup, lattice_lm, line_dedup, mixing, ngram_join, packing, url_filter, warc
+from . import (
+    bm25, crf_quality, exact_dedup, fp_tree, lattice_lm, line_dedup, mixing, ngram_join, packing, secret_scan,
+    token_alignment, url_filter, warc,
+)
 from .common import table
 
 
@@ -70,11 +73,32 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_fp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return fp_tree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies lie over each other in all documents."""
+    return token_alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    counts = [F.size(secret_scan.of_kinds("spans", kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.BASE_KINDS]
+    base = secret_scan.as_text(secret_scan.of_kinds("spans", *secret_scan.BASE_KINDS))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secret_scan.as_text("spans").alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_warc, op3_mixing, op4_url_filter, op5_ngram_join, op6_bm25, op7_lattice_lm,
-    op8_crf_quality, op9_packing, op10_line_dedup)}
+    op8_crf_quality, op9_packing, op10_line_dedup, op11_fp_tree, op12_token_alignment, op13_secret_scan)}
 
 _SPACES = r"[\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _MIX_WEIGHT = "(CASE rank % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END)::DOUBLE"
 
 ORACLE = {
@@ -131,4 +155,25 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(m.line) AS n_removed,
           sha256(coalesce(string_agg(l.line, chr(10) ORDER BY pos) FILTER (WHERE m.line IS NULL), '')) AS text_sha256
         FROM l LEFT JOIN m USING (line) GROUP BY doc_id""",
+    "op11_fp_tree": rf"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_FOLDED}, '{_TERM}') AS terms FROM documents),
+        s AS (SELECT count(*) FILTER (len(terms) > 0) AS nd, sum(len(terms))::BIGINT AS total FROM d),
+        t AS (
+          SELECT r, doc_id, term, n, count(*) AS tf
+          FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY r, doc_id, term, n),
+        w AS (
+          SELECT term, floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term),
+        q AS (
+          SELECT i, item_id, term, count(*) AS times FROM (
+            SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all({_FOLDED}, '{_TERM}')) AS term FROM benchmark)
+          GROUP BY i, item_id, term),
+        x AS (
+          SELECT i, item_id, r, doc_id,
+            sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // total))))::BIGINT AS score
+          FROM q JOIN t USING (term) JOIN w USING (term), s GROUP BY i, item_id, r, doc_id),
+        k AS (
+          SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+          FROM x WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""",
 }
