@@ -85,6 +85,23 @@ def test_variants_around_the_similarity(spark):
     assert 3 < len(set(expected.values())) < len(texts)
 
 
+def _thue_morse(bits, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(1 << bits))
+
+
+def test_self_similar_texts_stay_apart(spark):
+    """Words and word sequences that all polynomial hashes modulo a power of two take for equal."""
+    texts = [_thue_morse(10, "ab"), _thue_morse(10, "ba")]
+    texts += [" ".join(_thue_morse(11, letters)) for letters in ("xy", "yx")]
+    texts += [" ".join(_thue_morse(11, letters).replace("p", "pp ").split()) for letters in ("pq", "qp")]
+    texts += ["w" * n for n in (7, 8, 9, 63, 64, 65, 72, 73)] + ["w" * 64 + "v", "w" * 63 + "v", "w" * 72 + "v"]
+    sets = {i: shingle_set(t) for i, t in enumerate(texts)}
+    got = ngram_join.ngram_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_shingles for r in got} == {i: len(s) for i, s in sets.items()}
+    assert {r.doc_id: r.component_id for r in got} == components(sets)
+    assert [r.component_id for r in got if r.doc_id < 2 or r.doc_id > 5] == [r.doc_id for r in got if r.doc_id < 2 or r.doc_id > 5]
+
+
 @pytest.mark.parametrize("sf", BOTH)
 def test_bm25(spark, sf):
     docs = {i: Counter(words(t)) for i, t in rows_of(sf, "documents", "doc_id, text")}
