@@ -38,3 +38,19 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_rows"),
         )
     )
+
+
+def assert_unique(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """``df`` as it is; a key that occurs more than once fails the job that reads it, with ``label`` in the error.
+
+    The count is a window over the keys. A join on the same keys needs the rows in the same place and order, so
+    the check adds neither a shuffle nor a job to it. Null keys match nothing in a join and are not counted.
+    """
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    twice = F.concat(F.lit(f"{label}: key more than once: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    counted = df.withColumn("_rows", rows)
+    # part of the filter, so that it runs whichever columns are wanted
+    return counted.where(F.when(known & (F.col("_rows") > 1), F.raise_error(twice).cast("boolean")).otherwise(True)).drop("_rows")

@@ -10,16 +10,20 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from edupanel import config as C
-from edupanel.operators import check_unique
+from edupanel.operators import fingerprint
 from edupanel.plans import clean, panel
+from edupanel.plans import publish as publishing
 from edupanel.session import drop_staged, get_spark, stage
-from edupanel.sources import read_table, scan_table, write_table
+from edupanel.sources import list_raw, read_table, scan_table, write_table
 
 
 @dataclass(frozen=True)
@@ -75,6 +79,39 @@ def scan_raw(
     return tables
 
 
+@contextmanager
+def _duplicates_named():
+    """The plan's own error for rows that share a key, as DuplicateKeysError."""
+    try:
+        yield
+    except PySparkException as error:
+        found = re.search(r"USER_RAISED_EXCEPTION\] (.*key more than once: .*)", str(error))
+        if not found:
+            raise
+        raise DuplicateKeysError(found[1].strip()) from error
+
+
+def _makers(
+    tables: Mapping[str, DataFrame], state_names: Mapping[str, str] | None, target_years: list[int] | None,
+    until: int, staged: list[DataFrame],
+) -> dict[str, Callable[[], DataFrame]]:
+    """The treated tables, each made when it is called for; staged tables are added to ``staged``."""
+
+    def gdp() -> DataFrame:
+        # staged before its last year is found, so the raw GDP is read and cleaned once
+        staged.append(stage(clean.clean_gdp_base(tables["gdp"]), "gdp-base"))
+        return clean.replicate_forward(
+            staged[-1], target_years=target_years, until=None if target_years is not None else until)
+
+    return {
+        C.TABLE_TERRITORY: lambda: clean.clean_territory(tables["territory"]),
+        C.TABLE_SCORE: lambda: clean.clean_score(tables["score"]),
+        C.TABLE_PROJECTS: lambda: clean.clean_projects(tables["projects"], state_names),
+        C.TABLE_GDP: gdp,
+        C.TABLE_DISTORTION: lambda: clean.clean_distortion(tables["distortion"]),
+    }
+
+
 def run(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -85,39 +122,60 @@ def run(
 ) -> DataFrame:
     """Clean the raw tables, write the treated ones, join and write the panel.
 
-    Each treated table is written once and read back for the joins. The GDP base is staged
-    before its last year is found, so the raw GDP is read and cleaned once; the staged copy is
-    deleted. Score and distortion rows that share place and year are an error.
+    Each treated table is written once and read back for the joins. Score and distortion rows that share place
+    and year are an error, which the joins find themselves.
     """
     out = out.rstrip("/")
-    base = stage(clean.clean_gdp_base(tables["gdp"]), "gdp-base")
-    treated = {
-        C.TABLE_TERRITORY: clean.clean_territory(tables["territory"]),
-        C.TABLE_SCORE: clean.clean_score(tables["score"]),
-        C.TABLE_PROJECTS: clean.clean_projects(tables["projects"], state_names),
-        C.TABLE_GDP: clean.replicate_forward(
-            base, target_years=target_years, until=None if target_years is not None else until
-        ),
-        C.TABLE_DISTORTION: clean.clean_distortion(tables["distortion"]),
-    }
-    stored = {}
-    for name, df in treated.items():
+    stored, staged = {}, []
+    for name, make in _makers(tables, state_names, target_years, until, staged).items():
+        df = make()
         write_table(df, f"{out}/{name}")
         stored[name] = read_table(spark, name, f"{out}/{name}", df.schema)
-    drop_staged(base)
-    # the other right sides hold one row per key by the way they are made
-    for name in (C.TABLE_SCORE, C.TABLE_DISTORTION):
-        twice = check_unique(stored[name], ["id_municipio", "ano"]).first()
-        if twice.duplicate_keys:
-            raise DuplicateKeysError(f"{name}: {twice.duplicate_keys} places have a year more than once")
+    for df in staged:
+        drop_staged(df)
     joined = panel.join_panel(
         stored[C.TABLE_GDP], stored[C.TABLE_SCORE], stored[C.TABLE_TERRITORY],
-        stored[C.TABLE_PROJECTS], stored[C.TABLE_DISTORTION],
+        stored[C.TABLE_PROJECTS], stored[C.TABLE_DISTORTION], checked=True,
     )
-    write_table(joined, f"{out}/{C.TABLE_PANEL}", partition_by="ano")
+    with _duplicates_named():
+        write_table(joined, f"{out}/{C.TABLE_PANEL}", partition_by="ano")
     return load_panel(spark, out)
 
 
+def publish(
+    spark: SparkSession,
+    raw: RawPaths,
+    out: str,
+    state_names: Mapping[str, str] | None = None,
+    target_years: list[int] | None = None,
+    until: int = C.GDP_REPLICATE_UNTIL,
+    project_sheets: Sequence[str] = C.PROJECT_SHEETS,
+) -> publishing.Published:
+    """Bring published tables up to date: raw tables whose files and settings are as they were are not read.
+
+    A file counts as changed when its path, size or time of change differs.
+    """
+    settings = {
+        "projects": [state_names, list(project_sheets)],
+        "gdp": [target_years, until],
+    }
+    names = {
+        "territory": C.TABLE_TERRITORY, "score": C.TABLE_SCORE, "projects": C.TABLE_PROJECTS, "gdp": C.TABLE_GDP,
+        "distortion": C.TABLE_DISTORTION,
+    }
+    sources = {}
+    for name, treated in names.items():
+        files = fingerprint(list_raw(spark, name, getattr(raw, name))).first()
+        sources[treated] = json.dumps([files["rows"], files["mark"], raw.fmt, settings.get(name)])
+    staged: list[DataFrame] = []
+    makers = _makers(scan_raw(spark, raw, project_sheets), state_names, target_years, until, staged)
+    with _duplicates_named():
+        done = publishing.publish(spark, makers, out, sources)
+    for df in staged:
+        drop_staged(df)
+    return done
+
+
 def load_panel(spark: SparkSession, out: str, cached: bool = False) -> DataFrame:
     """The written panel in its column order; ``cached`` keeps it for a dashboard session."""
     path = f"{out.rstrip('/')}/{C.TABLE_PANEL}"
@@ -137,6 +195,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--until", type=int, default=C.GDP_REPLICATE_UNTIL, help="repeat the last GDP year up to this one")
     parser.add_argument("--project-sheets", nargs="+", default=list(C.PROJECT_SHEETS), help="project years to read")
     parser.add_argument("--states", type=json.loads, help="state names by code, as JSON text")
+    parser.add_argument("--publish", action="store_true", help="versioned tables; only what changed is made anew")
     args = parser.parse_args(argv)
     standard = RawPaths.under(args.raw, args.format)
     raw = RawPaths(
@@ -147,6 +206,10 @@ def main(argv: list[str] | None = None) -> None:
         fmt=args.format,
     )
     spark = get_spark("edupanel-job")
+    if args.publish:
+        done = publish(spark, raw, args.out, args.states, args.target_years, args.until, args.project_sheets)
+        print(f"version {done.version}: cleaned {done.cleaned}, wrote the years {done.years}")
+        return
     tables = scan_raw(spark, raw, args.project_sheets)
     run(spark, tables, args.out, args.states, args.target_years, args.until)
 

@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edupanel import config as C
-from edupanel.operators import quantile_bands
+from edupanel.operators import assert_unique, quantile_bands
 
 
 def join_panel(
     gdp: DataFrame, score: DataFrame, territory: DataFrame, projects: DataFrame,
-    distortion: DataFrame,
+    distortion: DataFrame, checked: bool = False,
 ) -> DataFrame:
     """GDP rows with score, territory, projects and distortion where they match.
 
+    With ``checked`` score or distortion rows that share place and year, which would multiply rows, fail the job;
+    the other right sides hold one row per key by the way they are made.
+
     The right sides are aggregated or de-duplicated before they get here. No side is
     broadcast by hint: Spark does so once statistics or the finished shuffle show that it
     is small. Neighbouring joins use different keys. Two joins on (id, year) in a row would
@@ -22,6 +25,9 @@ def join_panel(
     shuffle follows, and a key may hold a large share of the rows.
     """
     key = ["id_municipio", "ano"]
+    if checked:
+        score = assert_unique(score, key, C.TABLE_SCORE)
+        distortion = assert_unique(distortion, key, C.TABLE_DISTORTION)
     joined = (
         gdp.join(score.drop("nome_municipio_formatado"), key, "left")
         .join(territory.drop("nome_municipio_formatado"), "id_municipio", "left")

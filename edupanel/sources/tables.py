@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -97,6 +98,17 @@ def _scan_landing(spark, table, paths, columns, fmt, sheets_named, options) -> D
     return raw.where(F.col("_sheet").isin(*sheets_named)) if sheets_named is not None else raw
 
 
+def list_raw(spark: SparkSession, table: str, paths: str | Sequence[str]) -> DataFrame:
+    """(path, length, changed) of the files of a raw table, without reading them."""
+    try:
+        files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise MissingSourceError(table, str(paths)) from None
+        raise
+    return files.select("path", "length", F.col("modificationTime").alias("changed"))
+
+
 def read_table(
     spark: SparkSession, table: str, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -112,13 +124,37 @@ def read_table(
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Overwrite a processed table; ``partition_by`` gives one folder per value."""
-    if partition_by:
-        # one folder per value without one task per value
-        df = df.hint("rebalance", partition_by)
-        df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    """Replace a processed table; ``partition_by`` gives one folder per value.
+
+    The table is written beside the old one and takes its place when it is whole, so a job that dies while it
+    writes leaves the old table. For a moment between two moves of folders there is none; ``VersionedTable`` has no such moment.
+    """
+    beside = f"{path.rstrip('/')}.writing-{uuid.uuid4().hex}"
+    try:
+        if partition_by:
+            # one folder per value without one task per value
+            df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(beside)
+        else:
+            df.write.parquet(beside)
+    except Exception:
+        _move(df.sparkSession, beside, None)
+        raise
+    _move(df.sparkSession, path, beside.replace(".writing-", ".old-"))
+    _move(df.sparkSession, beside, path)
+    _move(df.sparkSession, beside.replace(".writing-", ".old-"), None)
+
+
+def _move(spark: SparkSession, path: str, target: str | None) -> None:
+    """Move a folder if it is there; without a target it is deleted."""
+    path_type = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    here = path_type(path)
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(here):
+        return
+    if target is None:
+        fs.delete(here, True)
+    elif not fs.rename(here, path_type(target)):
+        raise OSError(f"can't move {path} to {target}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ long step from a cross join with the years, keep-first from a window.
 from __future__ import annotations
 
 from edupanel import config as C
-from workload.registry import FIRST_YEAR, NAME_QUERY, STATES, TEXT_QUERY, YEAR
+from workload.registry import CHANGED_YEAR, FIRST_YEAR, NAME_QUERY, STATES, TEXT_QUERY, YEAR
 
 # --- tables -------------------------------------------------------------------------------
 CTES = {
@@ -347,6 +347,7 @@ ORACLE: dict[str, str] = {
     "clean_distortion": sql("SELECT * FROM distortion", "distortion"),
     "agg_mean_rates": sql(f"SELECT * EXCLUDE ({NAME}) FROM distortion", "distortion"),
     "build_panel": sql(f"SELECT {PANEL} FROM panel", "panel"),
+    "publish_incremental": sql(f"SELECT {PANEL}, ano = {CHANGED_YEAR} AS written_again FROM panel", "panel"),
     "serving_panel": sql("SELECT * FROM serving", "serving"),
     # dashboard
     "kpi_overview": sql(f"""SELECT * REPLACE ({r('ideb_medio')} AS ideb_medio)

@@ -8,6 +8,8 @@ rows is merged in every task before anything is shuffled for a join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -202,6 +204,15 @@ def distortion(spark, sf_dir) -> DataFrame:
     return clean.clean_distortion(raw_distortion(spark, sf_dir))
 
 
+def treated(spark, sf_dir) -> dict[str, Callable[[], DataFrame]]:
+    """The treated tables by name, each made when it is called for."""
+    makers = {
+        C.TABLE_TERRITORY: territory, C.TABLE_SCORE: score, C.TABLE_PROJECTS: projects, C.TABLE_GDP: gdp,
+        C.TABLE_DISTORTION: distortion,
+    }
+    return {name: (lambda make=make: make(spark, sf_dir)) for name, make in makers.items()}
+
+
 def build(spark, sf_dir) -> DataFrame:
     """The panel straight from the tables."""
     return panel.join_panel(
