@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from edupanel.session import stage
 
 CACHED_UNITS = 250_000
-SHORT = 8
+UNITS_AT_ONCE = 2_000
 TEXTS_AT_ONCE = 200
 PAIRS_AT_ONCE = 2_000_000
 FLUSH_PAIRS = 2_000_000
@@ -26,7 +26,9 @@ _BLANK = [(0, 0x20), (0x7F, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000,
           (0x205F, 0x206F), (0x2581, 0x2581), (0x3000, 0x3000), (0xFEFF, 0xFEFF)]
 #: A unit begins at a space that stands behind another character than a space (the text itself is taken to have one in front)
 #: and before a character that is sure not to be white space: there a new pre-token begins, and so does a piece where no piece holds a space behind another character.
-_UNIT = re.compile("(?<=[^ ]) (?=[^%s])" % "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in _BLANK))
+_BLANKS = "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in _BLANK)
+_UNIT = re.compile(f"(?<=[^ ]) (?=[^{_BLANKS}])")
+_BLANK_FIRST = re.compile(f"[{_BLANKS}]")
 _SPACE = "\u2581"
 
 
@@ -41,8 +43,9 @@ class Aligner:
     """Aligns texts. ``path_a`` is a byte-level vocabulary, ``path_b`` one of pieces that adds a space.
 
     Texts are cut into units at spaces where both tokenisers begin a token whatever comes before, so a unit's tokens are
-    those that it has in the text, and groups and links never cross units. About CACHED_UNITS units are kept.
-    Vocabularies that don't allow it get whole texts as units.
+    those that it has in the text, groups and links never cross units, and units can be tokenised many at a time, one behind
+    the other. The last CACHED_UNITS to twice as many units are kept. Vocabularies that don't allow it get whole
+    texts as units.
     """
 
     def __init__(self, path_a: str, path_b: str) -> None:
@@ -61,6 +64,10 @@ class Aligner:
             self.sizes_a[i] = len(bytes(letters[c] for c in token))
         self.bytes_b = [self._piece(i) for i in range(self.size_b)]
         self.sizes_b = np.array([len(p) for p in self.bytes_b])
+        # an id and what may follow it: another of its side, the other side or the next group, the next unit
+        self.written = [
+            np.array([[f"{i}{mark}" for mark in marks] for i in range(size)], dtype=object)
+            for size, marks in ((self.size_a, ",|"), (self.size_b, ",;\n"))]
         with open(path_a, encoding="utf-8") as file:
             splitter = json.load(file).get("pre_tokenizer") or {}
         pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
@@ -68,6 +75,7 @@ class Aligner:
             splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True)
             and not any(_SPACE in p.lstrip(_SPACE) for p in pieces))
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -78,64 +86,73 @@ class Aligner:
     def __call__(self, texts: list[str]) -> list[tuple | None]:
         """Per text (n_a, n_b, n_groups, keys of all links, groups); None for texts without tokens."""
         # the first unit's space is the one that stands before every text
-        split = [(_UNIT.split(t) if self.cut else [t]) if t else None for t in texts]
+        split = [(_UNIT.split(t) if self.cut else [t]) if t else [] for t in texts]
+        wanted = set().union(*split)
+        if len(self.known) + len(wanted) > CACHED_UNITS:
+            self.older, self.known = self.known, {}
         known = self.known
-        new = set().union(*filter(None, split)).difference(known)
-        if len(known) + len(new) > CACHED_UNITS:
-            self.known = known = {u: held for u, held in known.items() if len(u) <= SHORT}
-            if len(known) > CACHED_UNITS // 2:
-                known.clear()
-            new = set().union(*filter(None, split)).difference(known)
-        self._learn(list(new))
+        new = wanted.difference(known)
+        back = new.intersection(self.older)
+        known.update(zip(back, map(self.older.__getitem__, back)))
+        self._learn(list(new.difference(back)))
         out = []
         for units in split:
-            held = [known[u] for u in units] if units else []
+            held = list(map(known.__getitem__, units))
             if not held or None in held:
                 out.append(None)
                 continue
-            n_a, n_b, n_groups, keys, groups = zip(*held)
-            out.append((sum(n_a), sum(n_b), sum(n_groups), np.frombuffer(b"".join(keys), np.int64), ";".join(groups)))
+            keys, groups, n_a, n_b = zip(*held)
+            groups = ";".join(groups)
+            out.append((sum(n_a), sum(n_b), groups.count(";") + 1, np.frombuffer(b"".join(keys), np.int64), groups))
         return out
 
     def _learn(self, units: list[str]) -> None:
-        """All new units at once, one after the other in arrays."""
-        whole = [" " + u for u in units]
-        tokens_a = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
-        tokens_b = self.b.encode(units, num_threads=1)
-        good = []
-        for unit, text, ids_a, ids_b in zip(units, whole, tokens_a, tokens_b):
-            raw = text.encode("utf-8")
-            if b"".join([self.bytes_b[i] for i in ids_b]) == raw and int(self.sizes_a[ids_a].sum()) == len(raw):
-                good.append((unit, ids_a, ids_b))
-            else:
-                self.known[unit] = None
-        if not good:
-            return
-        n_a = np.array([len(a) for _, a, _ in good])
-        n_b = np.array([len(b) for _, _, b in good])
-        a = np.concatenate([a for _, a, _ in good]).astype(np.int64)
-        b = np.concatenate([b for _, _, b in good]).astype(np.int64)
+        plain = [u for u in units if self.cut and u and u[-1] != " " and not _BLANK_FIRST.match(u)]
+        for i in range(0, len(plain), UNITS_AT_ONCE):
+            part = plain[i:i + UNITS_AT_ONCE]
+            if not self._together(part):
+                for unit in part:
+                    self._singly(unit)
+        if len(plain) < len(units):
+            for unit in set(units).difference(plain):
+                self._singly(unit)
+
+    def _singly(self, unit: str) -> None:
+        if not self._together([unit]):
+            self.known[unit] = None
+
+    def _together(self, units: list[str]) -> bool:
+        """Learn units that follow each other, in arrays; False if what B's tokens spell is not the text."""
+        text = " ".join(units)
+        raw = (" " + text).encode("utf-8")
+        ids_b = self.b.encode(text, num_threads=1) if text else []
+        if b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
+            return False
+        (found,) = self.a.encode_batch_fast([" " + text], add_special_tokens=False)
+        a, b = np.array(found.ids, dtype=np.int64), np.array(ids_b, dtype=np.int64)
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        if not len(a) or ends_a[-1] != len(raw):
+            return False
+        unit_ends = np.cumsum([len(u.encode("utf-8")) + 1 for u in units])
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        to_a, to_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
         # the tokens of b that begin before a's token ends and end behind its begin
         first = np.searchsorted(ends_b, ends_a - self.sizes_a[a], side="right")
-        last = np.searchsorted(ends_b, ends_a, side="left")
-        each = last - first + 1
+        each = np.searchsorted(ends_b, ends_a, side="left") - first + 1
         links = np.repeat(first - np.cumsum(each) + each, each) + np.arange(each.sum())
-        keys = np.repeat(a, each) * self.size_b + b[links]
-        of_a = np.concatenate([[0], np.cumsum(n_a)])
-        key_ends = np.concatenate([[0], np.cumsum(each)])[of_a].tolist()
-        group_ends = np.searchsorted(to_a, of_a, side="right").tolist()
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, at_a, at_b = [], 0, 0
-        for next_a, next_b in zip(to_a.tolist(), to_b.tolist()):
-            groups.append(f"{','.join(text_a[at_a:next_a])}|{','.join(text_b[at_b:next_b])}")
-            at_a, at_b = next_a, next_b
-        for i, (unit, _, _) in enumerate(good):
-            self.known[unit] = (
-                int(n_a[i]), int(n_b[i]), group_ends[i + 1] - group_ends[i],
-                keys[key_ends[i]:key_ends[i + 1]].tobytes(), ";".join(groups[group_ends[i]:group_ends[i + 1]]))
+        keys = (np.repeat(a, each) * self.size_b + b[links]).tobytes()
+        of_a, of_b = (np.concatenate([[0], np.searchsorted(ends, unit_ends) + 1]) for ends in (ends_a, ends_b))
+        key_ends = (8 * np.concatenate([[0], np.cumsum(each)])[of_a]).tolist()
+        # each side's tokens end their group, and b's also the unit, or not
+        last_a = np.append(group_a[1:] != group_a[:-1], True).astype(np.int64)
+        last_b = np.append(group_b[1:] != group_b[:-1], True).astype(np.int64)
+        last_b[of_b[1:] - 1] = 2
+        marked = np.concatenate([self.written[0][a, last_a], self.written[1][b, last_b]])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        groups = "".join(marked[order].tolist()).split("\n")
+        rows = zip([keys[i:j] for i, j in zip(key_ends, key_ends[1:])], groups, np.diff(of_a).tolist(), np.diff(of_b).tolist())
+        self.known.update(zip(units, rows))
+        return True
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
