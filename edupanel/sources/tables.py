@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edupanel.functions.numbers import na_map, plain_number
-from edupanel.sources import sheets
+from edupanel.sources import census, sheets
 
 
 class MissingSourceError(FileNotFoundError):
@@ -22,9 +22,9 @@ class MissingSourceError(FileNotFoundError):
 
 
 class MissingColumnsError(ValueError):
-    def __init__(self, table: str, columns: Sequence[str]):
-        super().__init__(f"{table} lacks the columns {list(columns)}")
-        self.columns = list(columns)
+    def __init__(self, table: str, columns: Sequence[str], path: str | None = None):
+        super().__init__(f"{table} lacks the columns {list(columns)}" + (f" in {path}" if path else ""))
+        self.columns, self.path = list(columns), path
 
 
 def scan_table(
@@ -41,8 +41,9 @@ def scan_table(
     """The named columns of a raw table as text, plus ``_row``, ``_source`` and ``_sheet``.
 
     ``sheet`` reads CSV exports or workbooks with rows above the header. ``parquet`` and
-    ``csv`` read a landing zone that already carries ``_row`` (and ``_sheet``). A missing
-    path or column is an error; fields equal to a token of ``na_tokens`` become null. CSV
+    ``csv`` read a landing zone that already carries ``_row`` (and ``_sheet``); its files may have their columns in
+    any order, and types of their own. A missing path is an error, and so is a column that any file lacks, which
+    names the file; fields equal to a token of ``na_tokens`` become null. CSV
     exports are cut at line breaks; where fields hold line breaks they fail, and ``multiline="true"``
     reads each file in one piece. With ``sheets_named`` the sheet of a CSV export is its file's name,
     or the group of the option ``sheetPattern``; a named sheet without a file is an error.
@@ -76,26 +77,58 @@ def _scan_sheets(spark, table, paths, columns, skip_rows, sheets_named, options)
 
 
 def _scan_landing(spark, table, paths, columns, fmt, sheets_named, options) -> DataFrame:
-    # columns go by position, so a file with another header has to fail, not swap them
-    strict = {"header": "true", "enforceSchema": "false"}
-    reader = spark.read.options(**{**strict, **options}) if fmt == "csv" else spark.read
+    """Columns by name: files whose header or types differ are scanned apart, each group natively, and united."""
+    needed = [*columns, "_row"]
     try:
-        raw = reader.format(fmt).load(paths)
+        groups = census.headers(spark, paths, fmt, options, wanted=[*needed, "_sheet"])
+        if len(groups) <= 1:
+            frames = [_reader(spark, fmt, options).format(fmt).load(paths)]
+        else:
+            roots = [r for r in (census.under(spark, p) for p in paths) if r]
+            frames = [f for g in groups if not g.missing(needed) for f in _group_frames(spark, fmt, options, g, roots)]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise MissingSourceError(table, ", ".join(paths)) from None
         raise
-    missing = [c for c in [*columns, "_row"] if c not in raw.columns]
-    if missing:
-        raise MissingColumnsError(table, missing)
-    sheet = F.col("_sheet") if "_sheet" in raw.columns else F.lit(None)
-    raw = raw.select(
-        *[F.col(f"`{c}`").cast("string").alias(c) for c in columns],
-        F.col("_row").cast("long").alias("_row"),
-        F.col("_metadata.file_path").alias("_source"),
-        sheet.cast("string").alias("_sheet"),
-    )
-    return raw.where(F.col("_sheet").isin(*sheets_named)) if sheets_named is not None else raw
+    for group in groups:
+        if missing := group.missing(needed):
+            raise MissingColumnsError(table, missing, group.files[0])
+    united = None
+    for frame in frames:
+        if missing := [c for c in needed if c not in frame.columns]:  # no file with a line
+            raise MissingColumnsError(table, missing)
+        sheet = F.col("_sheet") if "_sheet" in frame.columns else F.lit(None)
+        named = frame.select(
+            *[F.col(f"`{c}`").cast("string").alias(c) for c in columns],
+            F.col("_row").cast("long").alias("_row"),
+            F.col("_metadata.file_path").alias("_source"),
+            sheet.cast("string").alias("_sheet"),
+        )
+        united = named if united is None else united.unionByName(named)
+    return united.where(F.col("_sheet").isin(*sheets_named)) if sheets_named is not None else united
+
+
+def _reader(spark, fmt, options):
+    # within a group columns go by position, so a file whose header has changed since the census has to fail
+    strict = {"header": "true", "enforceSchema": "false"}
+    return spark.read.options(**{**strict, **options}) if fmt == "csv" else spark.read
+
+
+def _group_frames(spark, fmt, options, group, roots) -> list[DataFrame]:
+    """The group's files, those below each root together, so that the names of folders still count as columns."""
+    by_root: dict[str | None, list[str]] = {}
+    for path in group.files:
+        root = next((r for r in roots if path.startswith(r + "/")), None)
+        by_root.setdefault(root, []).append(census.literal(path))
+    frames = []
+    for root, files in by_root.items():
+        reader = _reader(spark, fmt, options)
+        if root:
+            reader = reader.option("basePath", root)
+        if fmt == "csv":
+            reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in group.names]))
+        frames.append(reader.format(fmt).load(files))
+    return frames
 
 
 def list_raw(spark: SparkSession, table: str, paths: str | Sequence[str]) -> DataFrame:

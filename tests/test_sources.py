@@ -7,6 +7,7 @@ from edupanel import config as C
 from workload import workbooks
 from edupanel.session import new_path, shared_dir, stage
 from edupanel.sources import (
+    census,
     MissingColumnsError,
     MissingSourceError,
     read_geojson,
@@ -115,12 +116,76 @@ def test_sheet_names_of_csv_exports(spark, tmp_path):
         scan_table(spark, "p", str(tmp_path), ["n"], "sheet", sheets_named=["2022"], **named).collect()
 
 
-def test_landing_csv_of_another_column_order_fails(spark, tmp_path):
+def test_landing_csv_of_other_column_orders(spark, tmp_path):
     (tmp_path / "1.csv").write_text("a,b,_row\n1,2,0\n")
-    (tmp_path / "2.csv").write_text("b,a,_row\n2,1,0\n")
-    for columns in (["a"], ["a", "b"]):
-        with pytest.raises(Exception, match="(?i)header"):
-            scan_table(spark, "t", str(tmp_path), columns, "csv").collect()
+    (tmp_path / "2.csv").write_text("b,a,_row\n2,1,1\n4,3,2\n")
+    (tmp_path / "3 [x]%20.csv").write_text('_row,"c, d",b,a\n3,"x\ty",6,5\n')
+    (tmp_path / "4.csv").write_text("")
+    raw = scan_table(spark, "t", str(tmp_path), ["a", "b"], "csv")
+    assert rows(raw.select("a", "b", "_row")) == [("1", "2", 0), ("1", "2", 1), ("3", "4", 2), ("5", "6", 3)]
+    assert len({r._source for r in raw.collect()}) == 3
+    assert rows(scan_table(spark, "t", str(tmp_path / "[12].csv"), ["b"], "csv").select("b")) == [("2",), ("2",), ("4",)]
+    named = [str(tmp_path / "1.csv"), str(tmp_path / "2.csv")]
+    assert scan_table(spark, "t", named, ["b", "a"], "csv").count() == 3
+
+
+def test_landing_file_without_a_column_is_named(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "1.csv").write_text("a,b,_row\n1,2,0\n")
+    (tmp_path / "c" / "2.csv").write_text("a,_row\n1,1\n")
+    spark.range(3).selectExpr("id as a", "id as _row").write.parquet(str(tmp_path / "p" / "one"))
+    spark.range(3).selectExpr("id as b", "id as a", "id as _row").write.parquet(str(tmp_path / "p" / "two"))
+    both = [str(tmp_path / "p" / name) for name in ("one", "two")]
+    for fmt, paths, name in (("csv", str(tmp_path / "c"), "2.csv"), ("parquet", both, "/one/")):
+        with pytest.raises(MissingColumnsError, match=r"t lacks the columns \['b'\]") as error:
+            scan_table(spark, "t", paths, ["a", "b"], fmt)
+        assert name in error.value.path
+        assert scan_table(spark, "t", paths, ["a"], fmt).count() == (2 if fmt == "csv" else 6)
+
+
+def test_landing_parquet_of_other_types(spark, tmp_path):
+    for name, kind in (("1", "int"), ("2", "string"), ("3", "double")):
+        spark.range(2).selectExpr(f"cast(id as {kind}) as a", "id as _row", f"'{name}' as only{name}").write.parquet(str(tmp_path / f"_{name}"))
+    paths = [str(tmp_path / f"_{n}") for n in "123"]
+    assert rows(scan_table(spark, "t", paths, ["a"]).select("a")) == [("0",), ("0",), ("0.0",), ("1",), ("1",), ("1.0",)]
+    groups = census.headers(spark, paths, "parquet", wanted=["_row"])
+    assert len(groups) == 1 and len(groups[0].files) == sum(len(g.files) for g in census.headers(spark, paths, "parquet"))
+
+
+def test_one_scan_per_header_and_folders_as_columns(spark, tmp_path):
+    for year in range(2018, 2024):
+        folder = tmp_path / f"_sheet={year}"
+        folder.mkdir()
+        header = ("a,b,_row", "b,_row,a", "a,b,_row")[year % 3]
+        values = {"a": f"a{year}", "b": f"b{year}", "_row": "0"}
+        (folder / "part.csv").write_text(header + "\n" + ",".join(values[c] for c in header.split(",")) + "\n")
+    raw = scan_table(spark, "t", str(tmp_path), ["a", "b"], "csv", sheets_named=["2018", "2019", "2021"])
+    assert rows(raw.select("a", "b", "_sheet")) == [(f"a{y}", f"b{y}", str(y)) for y in (2018, 2019, 2021)]
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # six files, two headers
+
+
+def test_census_reads_little(spark, tmp_path):
+    """The header of a large file comes from its first lines; names may be quoted and hold line breaks."""
+    path = tmp_path / "large.csv"
+    path.write_text('\ufeff"a ""x""","b\nc";d\n'.replace(";", ",") + "1,2,3\n" * 500_000)
+    small = tmp_path / "small.csv"
+    small.write_text("d;e\n1;2\n")
+    (large,) = census.headers(spark, [str(path)], "csv")
+    assert large.names == ['a "x"', "b\nc", "d"] and large.files[0].endswith("large.csv")
+    assert census.headers(spark, [str(small)], "csv", {"sep": ";"})[0].names == ["d", "e"]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != census._WHOLE_FILE
+
+
+def test_census_where_executors_cannot_open_the_files(spark, tmp_path, monkeypatch):
+    spark.range(1).selectExpr("id as a", "id as _row").write.parquet(str(tmp_path / "p"))
+
+    def closed(path):
+        raise OSError(path)
+
+    monkeypatch.setattr(census.sheets, "open_fs", closed)
+    (group,) = census.headers(spark, [str(tmp_path / "p")], "parquet", wanted=["a", "z"])
+    assert group.header == (("a", "bigint"),) and group.missing(["a", "z"]) == ["z"]
 
 
 def test_missing_columns_and_files(spark, tmp_path):

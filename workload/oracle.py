@@ -10,6 +10,38 @@ from edupanel import config as C
 from workload.registry import CHANGED_YEAR, FIRST_YEAR, NAME_QUERY, STATES, TEXT_QUERY, YEAR
 
 # --- tables -------------------------------------------------------------------------------
+
+def projects(where: str) -> str:
+    return f"""
+        SELECT upper(c_name) AS nome_municipio_formatado, n_name AS sg_uf,
+               CAST(year(o_orderdate) AS INTEGER) AS ano,
+               CAST(count(DISTINCT o_orderkey) AS DOUBLE) AS nr_projetos,
+               CAST(count(l_orderkey) AS DOUBLE) AS nr_instituicoes,
+               coalesce(sum(l_quantity), 0.0) AS nr_beneficiados,
+               CASE WHEN n_nationkey < 20 THEN n_name END AS nome_uf
+        FROM orders
+        JOIN customer ON o_custkey = c_custkey
+        JOIN nation ON c_nationkey = n_nationkey
+        LEFT JOIN lineitem ON l_orderkey = o_orderkey
+        WHERE {where}
+        GROUP BY c_name, n_name, n_nationkey, year(o_orderdate)"""
+
+
+def distortion(where: str) -> str:
+    return f"""
+        SELECT o_custkey AS id_municipio, CAST(year(o_orderdate) AS INTEGER) AS ano,
+               'MUNICIPIO No ' || o_custkey AS nome_municipio_formatado,
+               avg(total) AS taxa_distorcao_total_fun,
+               avg(early) AS taxa_distorcao_anos_iniciais,
+               avg(late) AS taxa_distorcao_anos_finais
+        FROM (SELECT l_orderkey, round(max(l_discount) * 100) AS total,
+                     round(max(l_tax) * 100) AS early, max(l_quantity) AS late
+              FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+        JOIN orders ON l_orderkey = o_orderkey
+        WHERE {where}
+        GROUP BY o_custkey, year(o_orderdate)"""
+
+
 CTES = {
     "gdp_base": ("""
         SELECT CAST(o.ano AS INTEGER) AS ano, r_name AS regiao, c_custkey AS id_municipio,
@@ -41,19 +73,8 @@ CTES = {
         LEFT JOIN score_best b
           ON b.o_custkey = k.o_custkey AND b.ano = y.ano AND b.o_orderstatus = 'F'""",
         ["score_best"]),
-    "projects": ("""
-        SELECT upper(c_name) AS nome_municipio_formatado, n_name AS sg_uf,
-               CAST(year(o_orderdate) AS INTEGER) AS ano,
-               CAST(count(DISTINCT o_orderkey) AS DOUBLE) AS nr_projetos,
-               CAST(count(l_orderkey) AS DOUBLE) AS nr_instituicoes,
-               coalesce(sum(l_quantity), 0.0) AS nr_beneficiados,
-               CASE WHEN n_nationkey < 20 THEN n_name END AS nome_uf
-        FROM orders
-        JOIN customer ON o_custkey = c_custkey
-        JOIN nation ON c_nationkey = n_nationkey
-        LEFT JOIN lineitem ON l_orderkey = o_orderkey
-        WHERE o_orderpriority = '1-URGENT'
-        GROUP BY c_name, n_name, n_nationkey, year(o_orderdate)""", []),
+    "projects": (projects("o_orderpriority = '1-URGENT'"), []),
+    "all_projects": (projects("true"), []),
     "raw_territory": ("""
         SELECT c_custkey + 1000000000000000 AS _row, lower(c_mktsegment) AS nome_rgi, *
         EXCLUDE (_row, nome_rgi) FROM (
@@ -71,18 +92,8 @@ CTES = {
         FROM raw_territory
         QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY _row) = 1""",
         ["raw_territory"]),
-    "distortion": ("""
-        SELECT o_custkey AS id_municipio, CAST(year(o_orderdate) AS INTEGER) AS ano,
-               'MUNICIPIO No ' || o_custkey AS nome_municipio_formatado,
-               avg(total) AS taxa_distorcao_total_fun,
-               avg(early) AS taxa_distorcao_anos_iniciais,
-               avg(late) AS taxa_distorcao_anos_finais
-        FROM (SELECT l_orderkey, round(max(l_discount) * 100) AS total,
-                     round(max(l_tax) * 100) AS early, max(l_quantity) AS late
-              FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
-        JOIN orders ON l_orderkey = o_orderkey
-        WHERE year(o_orderdate) BETWEEN 1997 AND 2001
-        GROUP BY o_custkey, year(o_orderdate)""", []),
+    "distortion": (distortion("year(o_orderdate) BETWEEN 1997 AND 2001"), []),
+    "all_distortion": (distortion("true"), []),
     "panel": ("""
         SELECT g.ano, g.regiao, g.id_municipio, g.sg_uf, g.pib_mil_reais, g.pib_per_capita,
                g.nome_municipio_formatado, g.populacao, s.ideb_nota, t.id_uf, t.nome_uf,
@@ -217,6 +228,8 @@ ORACLE: dict[str, str] = {
     "scan_header_offset": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "scan_multi_file": """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS ano,
         o_orderpriority FROM orders""",
+    "scan_mixed_headers": """SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderkey AS _row, fmt
+        FROM orders, (VALUES ('csv'), ('parquet')) f(fmt)""",
     "scan_multi_sheet": """SELECT o_orderkey, o_totalprice,
         CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders""",
     "scan_workbook": "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer",
@@ -341,11 +354,11 @@ ORACLE: dict[str, str] = {
     # cleaning jobs and panel
     "clean_territory": sql("SELECT * EXCLUDE (_row) FROM territory", "territory"),
     "clean_score": sql("SELECT * FROM score", "score"),
-    "clean_projects": sql("SELECT * FROM projects", "projects"),
-    "agg_sum_projects": sql("SELECT * EXCLUDE (nome_uf) FROM projects", "projects"),
+    "clean_projects": sql("SELECT * FROM all_projects", "all_projects"),
+    "agg_sum_projects": sql("SELECT * EXCLUDE (nome_uf) FROM all_projects", "all_projects"),
     "clean_gdp": sql("SELECT * FROM gdp", "gdp"),
-    "clean_distortion": sql("SELECT * FROM distortion", "distortion"),
-    "agg_mean_rates": sql(f"SELECT * EXCLUDE ({NAME}) FROM distortion", "distortion"),
+    "clean_distortion": sql("SELECT * FROM all_distortion", "all_distortion"),
+    "agg_mean_rates": sql(f"SELECT * EXCLUDE ({NAME}) FROM all_distortion", "all_distortion"),
     "build_panel": sql(f"SELECT {PANEL} FROM panel", "panel"),
     "publish_incremental": sql(f"SELECT {PANEL}, ano = {CHANGED_YEAR} AS written_again FROM panel", "panel"),
     "serving_panel": sql("SELECT * FROM serving", "serving"),
@@ -373,6 +386,10 @@ ORACLE: dict[str, str] = {
         {r('avg(ideb_nota)')} AS ideb_nota FROM serving
         WHERE ano IN ({FIRST_YEAR}, {YEAR}) AND sg_uf IS NOT NULL AND ideb_nota IS NOT NULL
         GROUP BY 1, 2, 3, 4""", "serving"),
+    "cube_evolution": sql(f"""SELECT ano, count(*) FILTER (status_projeto = 'Com Projetos') AS com_projetos,
+        CAST(coalesce(sum(nr_projetos), 0) AS BIGINT) AS projetos_ativos, {r('avg(ideb_nota)')} AS ideb_medio,
+        count(DISTINCT id_municipio) AS total_municipios
+        FROM serving WHERE sg_uf IS NOT NULL GROUP BY 1""", "serving"),
     "impact_variation": sql(f"""SELECT a.faixa_populacao, a.faixa_populacao_ord,
         a.status_projeto, {r(f'avg(b.{RATE} - a.{RATE})')} AS variacao
         FROM serving a JOIN serving b ON a.id_municipio = b.id_municipio
@@ -451,3 +468,6 @@ ORACLE: dict[str, str] = {
         f"{r('avg(ideb_nota) FILTER ({0})', 2)}", "porte_municipio, categoria_pib", "explored",
         "categoria_pib IS NOT NULL"),
 }
+
+# the cube's answers are those of the panel
+ORACLE.update({f"cube_{name}": ORACLE[name] for name in ("kpi_overview", "impact_score", "context_by_segment")})

@@ -25,11 +25,12 @@ from edupanel.operators import (
     quantile_bands,
     unpivot_years,
 )
+from edupanel.plans import cube as K
 from edupanel.plans import dashboard as D
 from edupanel.plans import exploration as X
 from edupanel.plans import panel as P
 from edupanel.plans.publish import publish, published_panel
-from edupanel.session import new_path
+from edupanel.session import new_path, stage
 from edupanel.sources import read_geojson, read_table, scan_table, write_table
 from workload import standin as S
 from workload import workbooks
@@ -89,6 +90,7 @@ def scan_header_offset(spark, sf_dir):
 @query
 def scan_multi_file(spark, sf_dir):
     orders = S.orders(spark, sf_dir).select("o_orderkey", "ano", "o_orderpriority")
+    orders = stage(orders, "by-year", partition_by="ano")  # each year's file then reads that year's folder only
     paths = []
     # as many files as the data has years
     for (year,) in orders.select("ano").distinct().collect():
@@ -101,6 +103,31 @@ def scan_multi_file(spark, sf_dir):
     return raw.select(F.col("o_orderkey").cast("long"), F.col("ano").cast("int"), "o_orderpriority")
 
 
+@query
+def scan_mixed_headers(spark, sf_dir):
+    """CSV files with their columns in three orders, one of them with a column more, and Parquet files of two types."""
+    orders = S.orders(spark, sf_dir).select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", F.col("o_orderkey").alias("_row"), "ano")
+    layouts = (
+        ["o_orderkey", "o_totalprice", "o_orderpriority", "_row"], ["_row", "o_orderpriority", "o_orderkey", "o_totalprice"],
+        ["o_orderpriority", "ano", "o_totalprice", "_row", "o_orderkey"],
+    )
+    landing = new_path(spark, "landing")
+    for n, names in enumerate(layouts):
+        orders.where(F.col("ano") % len(layouts) == n).select(*names).write.csv(f"{landing}/{n}", header=True)
+    typed = new_path(spark, "landing")
+    for n, kind in enumerate(("bigint", "string")):
+        part = orders.where(F.col("ano") % 2 == n)
+        part.withColumn("o_orderkey", F.col("o_orderkey").cast(kind)).write.parquet(f"{typed}/{n}")
+    wanted = ["o_orderkey", "o_totalprice", "o_orderpriority"]
+    read = [
+        scan_table(spark, "orders", [f"{landing}/{n}" for n in range(3)], wanted, "csv"),
+        scan_table(spark, "orders", [f"{typed}/{n}" for n in range(2)], wanted),
+    ]
+    return read[0].withColumn("fmt", F.lit("csv")).unionByName(read[1].withColumn("fmt", F.lit("parquet"))).select(
+        F.col("o_orderkey").cast("long"), F.col("o_totalprice").cast("double"), "o_orderpriority", "_row", "fmt")
+
+
 @query
 def scan_multi_sheet(spark, sf_dir):
     path = new_path(spark, "landing")
@@ -431,27 +458,29 @@ def clean_score(spark, sf_dir):
 
 @query
 def clean_projects(spark, sf_dir):
-    return S.projects(spark, sf_dir)
+    """All orders as projects; the panel takes the urgent ones."""
+    return S.projects(spark, sf_dir, all_orders=True)
 
 
 @query
 def agg_sum_projects(spark, sf_dir):
-    return S.projects(spark, sf_dir).drop("nome_uf")
+    return S.projects(spark, sf_dir, all_orders=True).drop("nome_uf")
 
 
 @query
 def clean_gdp(spark, sf_dir):
-    return S.gdp(spark, sf_dir)
+    return S.gdp(spark, sf_dir, fresh=True)
 
 
 @query
 def clean_distortion(spark, sf_dir):
-    return S.distortion(spark, sf_dir)
+    """All years; the panel takes the later ones."""
+    return S.distortion(spark, sf_dir, years=None)
 
 
 @query
 def agg_mean_rates(spark, sf_dir):
-    return S.distortion(spark, sf_dir).select("id_municipio", "ano", *C.DISTORTION_MEASURES)
+    return S.distortion(spark, sf_dir, years=None).select("id_municipio", "ano", *C.DISTORTION_MEASURES)
 
 
 @query
@@ -564,6 +593,28 @@ def context_by_segment_dense(spark, sf_dir):
     return rounded(D.context_dense(context, SIZE_SEGMENT, C.POPULATION_BANDS), "valor_medio")
 
 
+# --- the same figures from the stored cube -------------------------------------------------
+@query
+def cube_kpi_overview(spark, sf_dir):
+    return rounded(K.kpi_overview(S.stored_cube(spark, sf_dir), YEAR), "ideb_medio")
+
+
+@query
+def cube_impact_score(spark, sf_dir):
+    return rounded(K.impact_score(S.stored_cube(spark, sf_dir), GDP_SEGMENT, FIRST_YEAR, YEAR), SCORE)
+
+
+@query
+def cube_context_by_segment(spark, sf_dir):
+    context = K.context_by_segment(S.stored_cube(spark, sf_dir), YEAR, SCORE, SIZE_SEGMENT)
+    return rounded(context, "valor_medio")
+
+
+@query
+def cube_evolution(spark, sf_dir):
+    return rounded(K.evolution(S.stored_cube(spark, sf_dir)), "ideb_medio")
+
+
 @query
 def history_series(spark, sf_dir):
     serving = S.stored_serving(spark, sf_dir)

@@ -1,7 +1,8 @@
 """Raw tables in the shape the cleaning jobs expect, derived from the order tables.
 
-A customer plays a municipality, its nation the state, an order year the year. All are lazy
-and cover the whole tables. Facts are aggregated per customer and year (or per order)
+A customer plays a municipality, its nation the state, an order year the year. All are lazy.
+They cover the whole tables, but for two that the panel takes narrower: urgent orders as projects, and rates of
+the later years, so that some places and years have none. Facts are aggregated per customer and year (or per order)
 before they meet the customers, so an order or customer that holds a large share of the
 rows is merged in every task before anything is shuffled for a join.
 """
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 from edupanel import config as C
 from edupanel.operators import replicate_forward
 from edupanel.plans import clean, panel
-from edupanel.session import stage
+from edupanel.plans.cube import Cube, store_cube
+from edupanel.session import new_path, stage
 
 SCORE_YEARS = (1995, 1997, 1999, 2001)
 DISTORTION_YEARS = tuple(range(1997, 2002))
@@ -25,8 +27,8 @@ REPLICATED_YEARS = (2002, 2003, 2004, 2005)
 LAST_YEAR = 2001
 # the states a name is known for; the others have none
 STATE_NAMES = {f"NATION_{n}": f"NATION_{n}" for n in range(20)}
-GDP_TOTAL = "Produto Interno Bruto, \na preços correntes\n(R$ 1.000)"
-GDP_PER_CAPITA = "Produto Interno Bruto per capita, \na preços correntes\n(R$ 1,00)"
+_GDP_HEADERS = {name: header for header, name in C.GDP_NAMES.items()}
+GDP_TOTAL, GDP_PER_CAPITA = _GDP_HEADERS["pib_mil_reais"], _GDP_HEADERS["pib_per_capita"]
 
 
 _schemas: dict[tuple[str, str], T.StructType] = {}
@@ -98,16 +100,16 @@ def raw_score(spark, sf_dir) -> DataFrame:
     )
 
 
-def raw_projects(spark, sf_dir) -> DataFrame:
-    """One row per urgent order: a project with its line items and pieces."""
-    items = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("items"), F.sum("l_quantity").alias("pieces"))
-    )
-    urgent = orders(spark, sf_dir).where(F.col("o_orderpriority") == "1-URGENT")
+def raw_projects(spark, sf_dir, all_orders: bool = False) -> DataFrame:
+    """One row per urgent order, or per order: a project with its line items and pieces."""
+    chosen, items = orders(spark, sf_dir), table(spark, sf_dir, "lineitem")
+    if not all_orders:
+        chosen = chosen.where(F.col("o_orderpriority") == "1-URGENT")
+        keys = chosen.select(F.col("o_orderkey").alias("l_orderkey"))
+        items = items.join(keys, "l_orderkey", "left_semi")
+    items = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("items"), F.sum("l_quantity").alias("pieces"))
     return (
-        urgent.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        chosen.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.col("c_name").alias("CIDADES"),
@@ -151,7 +153,7 @@ def raw_territory(spark, sf_dir) -> DataFrame:
     )
 
 
-def raw_distortion(spark, sf_dir) -> DataFrame:
+def raw_distortion(spark, sf_dir, years: tuple[int, ...] | None = DISTORTION_YEARS) -> DataFrame:
     """One row per order, year and return flag; whole-number rates keep the means exact."""
     rates = (
         table(spark, sf_dir, "lineitem")
@@ -167,7 +169,9 @@ def raw_distortion(spark, sf_dir) -> DataFrame:
         .when(F.col("l_returnflag") == "A", "Municipal")
         .otherwise("Privada")
     )
-    counted = orders(spark, sf_dir).where(F.col("ano").isin(*DISTORTION_YEARS))
+    counted = orders(spark, sf_dir)
+    if years is not None:
+        counted = counted.where(F.col("ano").isin(*years))
     return rates.join(counted, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("ano").alias("NU_ANO_CENSO"),
         F.col("o_custkey").alias("CO_MUNICIPIO"),
@@ -187,21 +191,25 @@ def score(spark, sf_dir) -> DataFrame:
     return clean.clean_score(raw_score(spark, sf_dir), SCORE_YEARS)
 
 
-def projects(spark, sf_dir) -> DataFrame:
-    return clean.clean_projects(raw_projects(spark, sf_dir), STATE_NAMES)
+def projects(spark, sf_dir, all_orders: bool = False) -> DataFrame:
+    return clean.clean_projects(raw_projects(spark, sf_dir, all_orders), STATE_NAMES)
+
+
+def gdp_base(spark, sf_dir, fresh: bool = False) -> DataFrame:
+    """Cleaned GDP rows, staged: finding the last year must not compute them again. Once per session, or ``fresh``."""
 
+    def base() -> DataFrame:
+        return clean.clean_gdp_base(raw_gdp(spark, sf_dir))
 
-def gdp_base(spark, sf_dir) -> DataFrame:
-    """Cleaned GDP rows, staged: finding the last year must not compute them again."""
-    return stage(clean.clean_gdp_base(raw_gdp(spark, sf_dir)), "gdp-base")
+    return stage(base(), "gdp-base") if fresh else _once("gdp-base", spark, sf_dir, base)
 
 
-def gdp(spark, sf_dir) -> DataFrame:
-    return replicate_forward(gdp_base(spark, sf_dir), target_years=REPLICATED_YEARS)
+def gdp(spark, sf_dir, fresh: bool = False) -> DataFrame:
+    return replicate_forward(gdp_base(spark, sf_dir, fresh), target_years=REPLICATED_YEARS)
 
 
-def distortion(spark, sf_dir) -> DataFrame:
-    return clean.clean_distortion(raw_distortion(spark, sf_dir))
+def distortion(spark, sf_dir, years: tuple[int, ...] | None = DISTORTION_YEARS) -> DataFrame:
+    return clean.clean_distortion(raw_distortion(spark, sf_dir, years))
 
 
 def treated(spark, sf_dir) -> dict[str, Callable[[], DataFrame]]:
@@ -216,7 +224,7 @@ def treated(spark, sf_dir) -> dict[str, Callable[[], DataFrame]]:
 def build(spark, sf_dir) -> DataFrame:
     """The panel straight from the tables."""
     return panel.join_panel(
-        gdp(spark, sf_dir),
+        gdp(spark, sf_dir, fresh=True),
         score(spark, sf_dir),
         territory(spark, sf_dir),
         projects(spark, sf_dir),
@@ -224,7 +232,7 @@ def build(spark, sf_dir) -> DataFrame:
     )
 
 
-_written: dict[tuple[str, str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], object] = {}
 
 
 def _once(kind: str, spark, sf_dir, make) -> DataFrame:
@@ -234,6 +242,14 @@ def _once(kind: str, spark, sf_dir, make) -> DataFrame:
     return _written[known]
 
 
+def stored_cube(spark, sf_dir) -> Cube:
+    """The cube over the serving panel, stored once per session."""
+    known = ("cube", spark.sparkContext.applicationId, sf_dir)
+    if known not in _written:
+        _written[known] = store_cube(stored_serving(spark, sf_dir), new_path(spark, "cube"))
+    return _written[known]
+
+
 def refresh() -> None:
     """Forget the stored panels, so that the next question builds them from the tables."""
     _written.clear()
