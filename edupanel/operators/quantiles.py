@@ -12,13 +12,13 @@ ranges still open, which are literals and reach the Parquet scan.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from edupanel.session import stage
+from edupanel.session import drop_staged, stage
 
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
@@ -29,6 +29,13 @@ SPLITS = 4096
 # rows whose values may be returned to the driver; beyond it the cells are split again. Only the
 # number of rounds depends on it
 DIRECT_ROWS = 8_192
+# numbers kept in a rank sketch; its rank error is about 2.3 / size ** 0.9, and a little more is taken on either side
+SKETCH_SIZE = 8_192
+SKETCH_MARGIN = 4.0
+
+
+class ChangedInputError(RuntimeError):
+    """The rows differ between two passes over them, so no rank can be told; store the table first."""
 
 
 class DuplicateEdgesError(ValueError):
@@ -62,13 +69,24 @@ def exact_quantiles(
     without values yields None.
     """
     values = [f"CAST({_name(c)} AS DOUBLE)" for c in columns]
-    counted = {i: [] for i in range(len(columns))}
+    known, sizes = _selected(df, values, lambda i, rows: _ranks(rows, probabilities))
+    return {
+        name: [_interpolate(known, i, sizes[i], p) for p in probabilities] if sizes[i] else None
+        for i, name in enumerate(columns)
+    }
+
+
+def _selected(
+    df: DataFrame, values: Sequence[str], ranks_of: Callable[[int, int], set[int]]
+) -> tuple[dict[tuple[int, int], float], dict[int, int]]:
+    """The values at the wanted ranks of each column, which depend on its number of rows, and these numbers."""
+    counted = {i: [] for i in range(len(values))}
     by_octave = _stacked(df, values).groupBy("c", F.expr(OCTAVE_CELL).alias("part"))
     for i, _, *cell in by_octave.agg(F.min("v"), F.max("v"), F.count("v")).collect():
         counted[i].append(cell)
     cells = {i: _accumulate(found, 0) for i, found in counted.items()}
     sizes = {i: sum(c.rows for c in found) for i, found in cells.items()}
-    ranks = {i: _ranks(sizes[i], probabilities) for i in cells}
+    ranks = {i: ranks_of(i, sizes[i]) for i in cells}
     known: dict[tuple[int, int], float] = {}
 
     while True:
@@ -83,13 +101,89 @@ def exact_quantiles(
         if not pending:
             break
         cells = _refine(df, values, open_cells, direct=pending <= DIRECT_ROWS)
+    return known, sizes
+
 
+def bracketed_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES, size: int = SKETCH_SIZE
+) -> dict[str, list[float] | None]:
+    """The quantiles of ``exact_quantiles`` from two passes over ``df``, however many rows there are.
+
+    The first pass merges a rank sketch per column, whose quantiles a little below and above a wanted rank
+    bracket the value there. The second pass counts the values below each bracket and at its ends, and stages those
+    strictly between, a small share of the rows; the ranks that lie there are then sought in what was staged. A value that
+    fills a third of the column ends its brackets, so it is counted and not staged. A sketch misses a rank with
+    a probability of less than one in a hundred; the counts tell, and ``exact_quantiles`` takes over.
+    """
+    values = [f"CAST({_name(c)} AS DOUBLE)" for c in columns]
+    margin = SKETCH_MARGIN / size ** 0.9
+    # the ends of a column are exact in a sketch
+    around = [p + sign * margin * (0 < p < 1) for p in probabilities for sign in (-1, 1)]
+    asked = f"array({', '.join(_number(min(1.0, max(0.0, x))) for x in around)})"
+    kept = df.select(*[F.expr(f"CASE WHEN NOT isnan({v}) THEN {v} END").alias(f"v{i}") for i, v in enumerate(values)])
+    kept = kept.agg(*[
+        part for i in range(len(columns))
+        for part in (F.count(f"v{i}").alias(f"n{i}"), F.kll_sketch_agg_double(f"v{i}", F.lit(size)).alias(f"k{i}"))])
+    first = kept.select(*[
+        part for i in range(len(columns))
+        for part in (f"n{i}", F.expr(f"CASE WHEN n{i} > 0 THEN kll_sketch_get_quantile_double(k{i}, {asked}) END").alias(f"q{i}"))
+    ]).first()
+    sizes = [first[f"n{i}"] for i in range(len(columns))]
+    brackets = [
+        (i, p, *first[f"q{i}"][2 * k:2 * k + 2]) for i, n in enumerate(sizes) if n for k, p in enumerate(probabilities)]
+    if not brackets:
+        return {name: None for name in columns}
+
+    watch, inside = _bracket_counts(df, values, brackets)
+    counts = watch.get
+    if any(counts[f"n{i}"] != n for i, n in enumerate(sizes)):
+        raise ChangedInputError("a column has another number of values in the second pass than in the first")
+    known: dict[tuple[int, int], float] = {}
+    between: dict[int, dict[int, int]] = {}
+    for b, (i, p, low, high) in enumerate(brackets):
+        for rank in _ranks(sizes[i], [p]):
+            place = rank - counts[f"below{b}"]
+            if place < 0 or place >= counts[f"low{b}"] + counts[f"in{b}"] + counts[f"high{b}"]:
+                return exact_quantiles(df, columns, probabilities)
+            if place < counts[f"low{b}"]:
+                known[i, rank] = low
+            elif place < counts[f"low{b}"] + counts[f"in{b}"]:
+                between.setdefault(b, {})[place - counts[f"low{b}"]] = rank
+            else:
+                known[i, rank] = high
+    if between:
+        columns_of = list(between)
+        found, _ = _selected(
+            inside, [f"CASE WHEN b = {b} THEN v END" for b in columns_of], lambda k, rows: set(between[columns_of[k]]))
+        known.update({(brackets[columns_of[k]][0], between[columns_of[k]][place]): v for (k, place), v in found.items()
+                      if place in between[columns_of[k]]})
+    drop_staged(inside)
     return {
         name: [_interpolate(known, i, sizes[i], p) for p in probabilities] if sizes[i] else None
         for i, name in enumerate(columns)
     }
 
 
+def _bracket_counts(df: DataFrame, values: Sequence[str], brackets) -> tuple[Observation, DataFrame]:
+    """Counts around every bracket, and the values strictly between its ends, staged as (b, v), from one pass.
+
+    The counts are observed in the tasks that write, whose results Spark takes once each.
+    """
+    watched, numbers = [F.count_if(F.col("c") == i).alias(f"n{i}") for i in range(len(values))], []
+    for b, (i, _, low, high) in enumerate(brackets):
+        ends = {
+            "below": f"v < {_number(low)}", "low": f"v = {_number(low)}",
+            "in": f"v > {_number(low)} AND v < {_number(high)}",
+            "high": f"v = {_number(high)} AND v > {_number(low)}",
+        }
+        watched += [F.count_if(F.expr(f"c = {i} AND {test}")).alias(f"{name}{b}") for name, test in ends.items()]
+        numbers.append(f"CASE WHEN c = {i} AND {ends['in']} THEN {b} END")
+    watch = Observation()
+    rows = _stacked(df, values).observe(watch, *watched)
+    inside = rows.selectExpr(f"explode(array_compact(array({', '.join(numbers)}))) AS b", "v")
+    return watch, stage(inside, "brackets")
+
+
 def approximate_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -114,7 +208,8 @@ def quantile_bands(
     Bands are equal-frequency, open below and closed above, the lowest edge included; null
     stays null. Finding the edges is an action, the bands themselves are a plain CASE. Edges
     that coincide leave fewer bands than labels: that is an error, or with ``skip`` the
-    band columns are left out. Edges are those of all rows together, or with
+    band columns are left out. ``exact`` and ``sketch`` find the same edges, the second in two passes over any input;
+    ``approx`` takes values near them. Edges are those of all rows together, or with
     ``partition_by`` of each value's rows; the edges are then a table joined on that value,
     rows without a value get no band, and the rounds do not depend on how many values there are.
     """
@@ -138,7 +233,7 @@ def quantile_bands(
 
 
 def _keyed_bands(df: DataFrame, bands, on_duplicate_edges: str, method: str, part: str) -> DataFrame:
-    find = {"exact": _keyed_quantiles, "approx": _keyed_approximate}[method]
+    find = {"exact": _keyed_quantiles, "sketch": _keyed_quantiles, "approx": _keyed_approximate}[method]
     edges = stage(find(df, part, bands), "edges")
     values = df.select(F.col(_name(part)).alias("_p")).na.drop().distinct()
     broken = [
@@ -235,7 +330,7 @@ def _between(share: float) -> str:
 
 
 def _edges(df: DataFrame, bands, method: str) -> dict[tuple[str, int], list[float] | None]:
-    find = {"exact": exact_quantiles, "approx": approximate_quantiles}[method]
+    find = {"exact": exact_quantiles, "sketch": bracketed_quantiles, "approx": approximate_quantiles}[method]
     by_count: dict[int, list[str]] = {}
     for column, _, labels in bands:
         by_count.setdefault(len(labels), []).append(column)
@@ -317,6 +412,9 @@ def _refine(
     parts: dict[tuple[int, int], list] = {}
     for i, n, *part in split:
         parts.setdefault((i, n), []).append(part)
+    for i, n, c in numbered:
+        if sum(part[2] for part in parts.get((i, n), ())) != c.rows:
+            raise ChangedInputError(f"{c.rows} values from {c.low!r} to {c.high!r} were there in one pass, not in the next")
     return {
         i: [p for n, c in enumerate(found) for p in _accumulate(parts[i, n], c.below)]
         for i, found in open_cells.items()
