@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,20 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_collecting: list[list[str]] = []
+
+
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """The paths of all tables staged within the block, for ``drop_paths`` once nothing reads them any more."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
 def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back.
 
@@ -57,6 +73,8 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     later queries read only the columns and year folders they need.
     """
     path = new_path(df.sparkSession, label)
+    for paths in _collecting:
+        paths.append(path)
     if partition_by:
         # many tasks per value: adaptive execution splits a large value and merges small ones
         df = df.hint("rebalance", partition_by)
@@ -65,12 +83,18 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
+def drop_staged(*dfs: DataFrame) -> None:
+    """Delete the files of staged tables that nothing reads any more."""
+    for df in dfs:
+        folder = shared_dir(df.sparkSession)
+        names = {f.split(folder, 1)[1].strip("/").split("/")[0] for f in df.inputFiles() if folder in f}
+        drop_paths(df.sparkSession, [f"{folder}/{name}" for name in names])
+
+
+def drop_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders, those that are there."""
     configured = spark.sparkContext._jsc.hadoopConfiguration()
     path_type = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for name in {f.split(folder, 1)[1].strip("/").split("/")[0] for f in df.inputFiles() if folder in f}:
-        path = path_type(f"{folder}/{name}")
+    for name in paths:
+        path = path_type(name)
         path.getFileSystem(configured).delete(path, True)
