@@ -1,6 +1,6 @@
 from edupanel.operators.fingerprint import fingerprint
 from edupanel.operators.keys import assert_unique, check_unique, dedup_keep_first, drop_null_keys
-from edupanel.operators.profile import profile
+from edupanel.operators.profile import ObservedProfile, profile
 from edupanel.operators.quantiles import (
     ChangedInputError,
     DuplicateEdgesError,
@@ -14,7 +14,7 @@ from edupanel.operators.reshape import densify, unpivot_years, wide_by_value, wi
 from edupanel.operators.segment import fixed_bands
 
 __all__ = [
-    "ChangedInputError", "DuplicateEdgesError", "approximate_quantiles", "assert_unique", "at_last_year",
+    "ChangedInputError", "DuplicateEdgesError", "ObservedProfile", "approximate_quantiles", "assert_unique", "at_last_year",
     "bracketed_quantiles", "check_unique",
     "dedup_keep_first", "densify", "drop_null_keys", "exact_quantiles", "fingerprint", "fixed_bands",
     "profile", "quantile_bands", "replicate_forward", "unpivot_years", "wide_by_value",

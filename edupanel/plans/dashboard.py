@@ -15,6 +15,7 @@ from edupanel import config as C
 from edupanel.functions import fixed_decimals, matches, thousands
 from edupanel.functions.numbers import nan_to_null
 from edupanel.operators import densify, drop_null_keys, wide_by_value
+from edupanel.operators.search_index import SearchIndex
 from edupanel.sources import write_csv
 
 NAME, SCORE, RATE = "nome_municipio_formatado", "ideb_nota", "taxa_distorcao_total_fun"
@@ -229,13 +230,41 @@ def correlation_by_year(panel: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
+def correlations_by_year(panel: DataFrame, axes: Sequence[str], y: str) -> DataFrame:
+    """``correlation_by_year`` of every axis with ``y``, in one pass: ano, status_projeto, eixo, correlacao, pontos.
+
+    One aggregate holds the co-moments of all axes. A year and status without a point on an axis has no row for it.
+    """
+    rows = drop_null_keys(panel, [y, "ano"])
+    moments = []
+    for n, axis in enumerate(axes):
+        x, other = F.col(axis), F.when(F.col(axis).isNotNull(), F.col(y))
+        moments += [
+            F.covar_pop(x, other).alias(f"_c{n}"), F.stddev_pop(x).alias(f"_x{n}"), F.stddev_pop(other).alias(f"_y{n}"),
+            F.count(x).alias(f"_n{n}")]
+    found = [
+        F.struct(
+            F.lit(axis).alias("eixo"),
+            nan_to_null(F.try_divide(F.col(f"_c{n}"), F.col(f"_x{n}") * F.col(f"_y{n}"))).alias("correlacao"),
+            F.col(f"_n{n}").alias("pontos"))
+        for n, axis in enumerate(axes)
+    ]
+    grouped = rows.groupBy("ano", "status_projeto").agg(*moments)
+    return grouped.select("ano", "status_projeto", F.inline(F.array(*found))).where("pontos > 0")
+
+
 def detail_table(
     panel: DataFrame, year: int, states: Sequence[str] | None = None, search: str = "",
-    literal: bool = False,
+    literal: bool = False, index: SearchIndex | None = None,
 ) -> DataFrame:
-    """The detail columns, and the flag that marks rows of places with projects."""
+    """The detail columns, and the flag that marks rows of places with projects.
+
+    With an ``index`` of the panel's names the search is done there and its names are joined to the rows.
+    """
     rows = year_and_states(panel, year, states)
-    if search:
+    if search and index is not None:
+        rows = rows.join(index.search(search, literal).withColumnRenamed("name", NAME), NAME, "left_semi")
+    elif search:
         rows = rows.where(matches(F.col(NAME), search, literal))
     return rows.select(*C.DETAIL_COLUMNS, "tem_projeto")
 

@@ -69,13 +69,14 @@ def size_frequencies(df: DataFrame) -> DataFrame:
     return df.groupBy(SIZE).agg(F.count(F.lit(1)).alias("linhas"))
 
 
-def score_by_wealth(df: DataFrame) -> DataFrame:
-    """Mean score by wealth band and presence of projects."""
+def score_by_wealth(df: DataFrame, empty: bool = False) -> DataFrame:
+    """Mean score by wealth band and presence of projects; with ``empty`` also a row for every band without rows."""
 
     def mean(value: Column) -> Column:
         return round_half_even(F.avg(value))
 
-    return by_flag(df, [WEALTH], mean, F.col(SCORE))
+    table = by_flag(df, [WEALTH], mean, F.col(SCORE))
+    return densify(table, {WEALTH: C.WEALTH_BANDS}) if empty else table
 
 
 def score_by_wealth_long(crosstab: DataFrame) -> DataFrame:
@@ -87,8 +88,11 @@ def projects_by_size(df: DataFrame) -> DataFrame:
     return df.groupBy(SIZE).agg(total.alias("nr_projetos"))
 
 
-def score_by_size_and_wealth(df: DataFrame) -> DataFrame:
+def score_by_size_and_wealth(df: DataFrame, empty: bool = False) -> DataFrame:
+    """Mean score by size, wealth band and presence; with ``empty`` also a row for every pair without rows."""
+
     def mean(value: Column) -> Column:
         return round_half_even(F.avg(value))
 
-    return by_flag(df, [SIZE, WEALTH], mean, F.col(SCORE))
+    table = by_flag(df, [SIZE, WEALTH], mean, F.col(SCORE))
+    return densify(table, {SIZE: (*C.SIZE_LABELS, C.SIZE_UNDEFINED), WEALTH: C.WEALTH_BANDS}) if empty else table

@@ -19,7 +19,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from edupanel import config as C
-from edupanel.operators import fingerprint
+from edupanel.operators import ObservedProfile, fingerprint
 from edupanel.plans import clean, panel
 from edupanel.plans import publish as publishing
 from edupanel.session import drop_staged, get_spark, stage
@@ -119,17 +119,31 @@ def run(
     state_names: Mapping[str, str] | None = None,
     target_years: list[int] | None = None,
     until: int = C.GDP_REPLICATE_UNTIL,
+    profiles: dict[str, list[tuple]] | None = None,
 ) -> DataFrame:
     """Clean the raw tables, write the treated ones, join and write the panel.
 
     Each treated table is written once and read back for the joins. Score and distortion rows that share place
-    and year are an error, which the joins find themselves.
+    and year are an error, which the joins find themselves. ``profiles`` is filled with the profile of each of the
+    six tables, gathered while they are written.
     """
     out = out.rstrip("/")
+
+    def write(df: DataFrame, name: str, partition_by: str | None = None) -> None:
+        seen: list[ObservedProfile] = []
+
+        def watched(rows: DataFrame) -> DataFrame:
+            seen.append(ObservedProfile(rows))
+            return seen[0].df
+
+        write_table(df, f"{out}/{name}", partition_by, watched if profiles is not None else None)
+        if profiles is not None:
+            profiles[name] = seen[0].rows()
+
     stored, staged = {}, []
     for name, make in _makers(tables, state_names, target_years, until, staged).items():
         df = make()
-        write_table(df, f"{out}/{name}")
+        write(df, name)
         stored[name] = read_table(spark, name, f"{out}/{name}", df.schema)
     for df in staged:
         drop_staged(df)
@@ -138,7 +152,7 @@ def run(
         stored[C.TABLE_PROJECTS], stored[C.TABLE_DISTORTION], checked=True,
     )
     with _duplicates_named():
-        write_table(joined, f"{out}/{C.TABLE_PANEL}", partition_by="ano")
+        write(joined, C.TABLE_PANEL, partition_by="ano")
     return load_panel(spark, out)
 
 
@@ -195,6 +209,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--until", type=int, default=C.GDP_REPLICATE_UNTIL, help="repeat the last GDP year up to this one")
     parser.add_argument("--project-sheets", nargs="+", default=list(C.PROJECT_SHEETS), help="project years to read")
     parser.add_argument("--states", type=json.loads, help="state names by code, as JSON text")
+    parser.add_argument("--profile", action="store_true", help="print the profiles of the written tables")
     parser.add_argument("--publish", action="store_true", help="versioned tables; only what changed is made anew")
     args = parser.parse_args(argv)
     standard = RawPaths.under(args.raw, args.format)
@@ -211,7 +226,10 @@ def main(argv: list[str] | None = None) -> None:
         print(f"version {done.version}: cleaned {done.cleaned}, wrote the years {done.years}")
         return
     tables = scan_raw(spark, raw, args.project_sheets)
-    run(spark, tables, args.out, args.states, args.target_years, args.until)
+    profiles = {} if args.profile else None
+    run(spark, tables, args.out, args.states, args.target_years, args.until, profiles)
+    for name, rows in (profiles or {}).items():
+        print(name, *("  {1} {2}: {3} of {4}, {5} to {6}, about {7} different".format(*r) for r in rows), sep="\n")
 
 
 if __name__ == "__main__":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -156,19 +156,23 @@ def read_table(
         raise
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_table(
+    df: DataFrame, path: str, partition_by: str | None = None, observed: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Replace a processed table; ``partition_by`` gives one folder per value.
 
+    ``observed`` gets the frame as it is written, behind all shuffles, and gives back the one to write.
+
     The table is written beside the old one and takes its place when it is whole, so a job that dies while it
     writes leaves the old table. For a moment between two moves of folders there is none; ``VersionedTable`` has no such moment.
     """
     beside = f"{path.rstrip('/')}.writing-{uuid.uuid4().hex}"
     try:
-        if partition_by:
-            # one folder per value without one task per value
-            df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(beside)
-        else:
-            df.write.parquet(beside)
+        # one folder per value without one task per value
+        df = df.hint("rebalance", partition_by) if partition_by else df
+        df = observed(df) if observed else df
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(beside)
     except Exception:
         _move(df.sparkSession, beside, None)
         raise

@@ -248,6 +248,14 @@ ORACLE: dict[str, str] = {
         f"""SELECT {n} AS position, '{c}' AS "column", '{DTYPES[c]}' AS dtype,
         count({c}) AS non_null, count(*) AS "rows" FROM panel"""
         for n, c in enumerate(C.PANEL_COLUMNS)), "panel"),
+    "profile_observed": sql("\nUNION ALL ".join(
+        f"""SELECT {n} AS position, '{c}' AS "column", '{DTYPES[c]}' AS dtype,
+        count({c}) AS non_null, count(*) AS "rows",
+        {'NULL' if DTYPES[c] == 'double' else f'CAST(min({c}) AS VARCHAR)'} AS low,
+        {'NULL' if DTYPES[c] == 'double' else f'CAST(max({c}) AS VARCHAR)'} AS high FROM panel"""
+        for n, c in enumerate(C.PANEL_COLUMNS)), "panel"),
+    "cached_panel": sql(f"""SELECT ano, count(*) AS linhas, v.versao FROM panel, (VALUES (1), (2)) v(versao)
+        WHERE ano < {YEAR} OR (ano = {YEAR} AND v.versao = 2) GROUP BY ano, v.versao""", "panel"),
     # projections and filters
     "rename_map": """SELECT CAST(o.ano AS INTEGER) AS ano, r_name AS regiao,
         CAST(c_custkey AS VARCHAR) AS id_municipio, c_name AS nome_municipio, n_name AS sg_uf,
@@ -309,6 +317,11 @@ ORACLE: dict[str, str] = {
                 SELECT ano AS y, quantile_cont(populacao, 0.25) AS a,
                        quantile_cont(populacao, 0.5) AS b, quantile_cont(populacao, 0.75) AS c
                 FROM panel GROUP BY 1) ON y = ano)""", "panel"),
+    "band_quartile_sketch": sql("""SELECT id_municipio, ano, faixa_populacao, faixa_populacao_ord, faixa_pib,
+        faixa_pib_ord, faixa_pib_per_capita, faixa_pib_per_capita_ord FROM
+        (SELECT * REPLACE (CAST(id_municipio AS BIGINT) AS id_municipio) FROM serving)""", "serving"),
+    "band_duplicate_edges": sql("""SELECT CAST(id_municipio AS BIGINT) AS id_municipio, ano, faixa_pib,
+        faixa_pib_ord FROM serving""", "serving"),
     "band_quartile_category": sql(
         "SELECT id_municipio, ano, categoria_pib FROM explored", "explored"),
     # reshape, sets, keys
@@ -469,5 +482,17 @@ ORACLE: dict[str, str] = {
         "categoria_pib IS NOT NULL"),
 }
 
+_WEALTH_AXIS = "(VALUES ('Baixo'), ('Médio-Baixo'), ('Médio-Alto'), ('Alto')) w(wealth)"
+_SIZE_AXIS = "(VALUES ('Pequeno'), ('Médio'), ('Grande'), ('Não definido')) z(size)"
+_BY_FLAG = ", ".join(
+    r(f"avg(ideb_nota) FILTER (tem_projeto_ia = '{flag}')", 2) + f' AS "{flag}"' for flag in ("Não", "Sim"))
+ORACLE["score_by_gdp_flag_dense"] = sql(f"""SELECT w.wealth AS categoria_pib, {_BY_FLAG}
+    FROM {_WEALTH_AXIS} LEFT JOIN explored ON categoria_pib = w.wealth GROUP BY 1""", "explored")
+ORACLE["score_by_size_gdp_flag_dense"] = sql(f"""SELECT z.size AS porte_municipio, w.wealth AS categoria_pib, {_BY_FLAG}
+    FROM {_SIZE_AXIS} CROSS JOIN {_WEALTH_AXIS} LEFT JOIN explored
+      ON categoria_pib = w.wealth AND porte_municipio = z.size GROUP BY 1, 2""", "explored")
+# the same answers by another way
+ORACLE["build_panel_bucketed"] = ORACLE["build_panel"]
+ORACLE["detail_table_indexed"] = ORACLE["detail_table"]
 # the cube's answers are those of the panel
 ORACLE.update({f"cube_{name}": ORACLE[name] for name in ("kpi_overview", "impact_score", "context_by_segment")})

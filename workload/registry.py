@@ -18,6 +18,7 @@ from edupanel.functions import (
     round_half_even,
 )
 from edupanel.operators import (
+    ObservedProfile,
     at_last_year,
     check_unique,
     dedup_keep_first,
@@ -25,13 +26,15 @@ from edupanel.operators import (
     quantile_bands,
     unpivot_years,
 )
+from edupanel.operators.search_index import SearchIndex
 from edupanel.plans import cube as K
 from edupanel.plans import dashboard as D
 from edupanel.plans import exploration as X
 from edupanel.plans import panel as P
+from edupanel.plans.bucketed import bucket_tables
 from edupanel.plans.publish import publish, published_panel
 from edupanel.session import new_path, stage
-from edupanel.sources import read_geojson, read_table, scan_table, write_table
+from edupanel.sources import TableCache, VersionedTable, read_geojson, read_table, scan_table, write_table
 from workload import standin as S
 from workload import workbooks
 
@@ -41,6 +44,7 @@ QUERIES: dict[str, Query] = {}
 YEAR = 2001
 FIRST_YEAR = 1997
 CHANGED_YEAR = 2000
+BUCKETS = 8
 STATES = ("NATION_1", "NATION_3", "NATION_8", "NATION_22")
 SCORE, RATE = D.SCORE, D.RATE
 SIZE_SEGMENT, GDP_SEGMENT = "faixa_populacao", "faixa_pib"
@@ -226,6 +230,38 @@ def profile_panel(spark, sf_dir):
     return profile(S.stored_panel(spark, sf_dir))
 
 
+@query
+def profile_observed(spark, sf_dir):
+    """The same profile with extremes, gathered while the panel is written; text of decimals is left out."""
+    panel = S.stored_panel(spark, sf_dir)
+    seen = []
+
+    def watched(rows: DataFrame) -> DataFrame:
+        seen.append(ObservedProfile(rows))
+        return seen[0].df
+
+    write_table(panel, new_path(spark, "observed"), "ano", watched)
+    found = seen[0].frame(spark).drop("distinct_about")
+    whole = F.col("dtype") != "double"
+    return found.withColumns({c: F.when(whole, F.col(c)) for c in ("low", "high")})
+
+
+@query
+def cached_panel(spark, sf_dir):
+    """A kept panel before and after a new version is published, of which one year is new."""
+    panel = S.stored_panel(spark, sf_dir)
+    table = VersionedTable(spark, new_path(spark, "cached"))
+    cache = TableCache(spark)
+    table.write(panel.where(F.col("ano") < YEAR), "ano")
+    before = cache.get(table.root).groupBy("ano").agg(F.count(F.lit(1)).alias("linhas")).withColumn("versao", F.lit(1))
+    before = stage(before, "before")
+    table.write(panel.where(F.col("ano") == YEAR), "ano", replace=[YEAR])
+    after = cache.get(table.root).groupBy("ano").agg(F.count(F.lit(1)).alias("linhas")).withColumn("versao", F.lit(2))
+    after = stage(after, "after")
+    cache.release()
+    return before.unionByName(after)
+
+
 # --- projections and filters -------------------------------------------------------------
 @query
 def rename_map(spark, sf_dir):
@@ -362,6 +398,24 @@ def band_quartile_by_year(spark, sf_dir):
     return quantile_bands(panel, bands, partition_by="ano").drop("populacao")
 
 
+@query
+def band_quartile_sketch(spark, sf_dir):
+    """Bands of three columns from two passes."""
+    panel = S.stored_panel(spark, sf_dir).select("id_municipio", "ano", "populacao", "pib_mil_reais", "pib_per_capita")
+    bands = [("populacao", "faixa_populacao", C.POPULATION_BANDS), ("pib_mil_reais", "faixa_pib", C.GDP_BANDS),
+             ("pib_per_capita", "faixa_pib_per_capita", C.GDP_PER_CAPITA_BANDS)]
+    return quantile_bands(panel, bands, method="sketch").drop("populacao", "pib_mil_reais", "pib_per_capita")
+
+
+@query
+def band_duplicate_edges(spark, sf_dir):
+    """Quartiles of project counts, most of them equal, leave the column out; those of the GDP stay."""
+    panel = P.project_flags(S.stored_panel(spark, sf_dir)).select("id_municipio", "ano", "nr_projetos", "pib_mil_reais")
+    bands = [("nr_projetos", "faixa_projetos", C.GDP_BANDS), ("pib_mil_reais", "faixa_pib", C.GDP_BANDS)]
+    banded = quantile_bands(panel, bands, on_duplicate_edges="skip")
+    return banded.select("id_municipio", "ano", *[c for c in banded.columns if c.startswith("faixa_")])
+
+
 @query
 def band_quartile_category(spark, sf_dir):
     panel = S.stored_panel(spark, sf_dir).select("id_municipio", "ano", "pib_per_capita")
@@ -493,6 +547,14 @@ def serving_panel(spark, sf_dir):
     return P.serving_panel(S.stored_panel(spark, sf_dir))
 
 
+@query
+def build_panel_bucketed(spark, sf_dir):
+    """The same panel from tables bucketed by place."""
+    treated = {name: make() for name, make in S.treated(spark, sf_dir).items()}
+    tables = bucket_tables(spark, treated, new_path(spark, "bucketed"), BUCKETS)
+    return tables.panel(treated[C.TABLE_PROJECTS])
+
+
 @query
 def publish_incremental(spark, sf_dir):
     """Published twice; of the first edition one year's rates differ, so the second run writes that year only."""
@@ -636,11 +698,7 @@ def corr_by_year(spark, sf_dir):
 def corr_by_year_axes(spark, sf_dir):
     """Every axis against the score; one of them is constant where there are no projects."""
     serving = S.stored_serving(spark, sf_dir)
-    found = None
-    for axis in C.SCATTER_AXES[1:]:
-        one = D.correlation_by_year(serving, axis, SCORE).withColumn("eixo", F.lit(axis))
-        found = one if found is None else found.unionByName(one)
-    return rounded(found, "correlacao", digits=6)
+    return rounded(D.correlations_by_year(serving, C.SCATTER_AXES[1:], SCORE), "correlacao", digits=6)
 
 
 @query
@@ -664,6 +722,14 @@ def detail_table(spark, sf_dir):
     return D.detail_table(S.stored_serving(spark, sf_dir), YEAR, search=NAME_QUERY)
 
 
+@query
+def detail_table_indexed(spark, sf_dir):
+    """The same search by way of an index of all names."""
+    serving = S.stored_serving(spark, sf_dir)
+    index = SearchIndex.build(serving, D.NAME, new_path(spark, "names"))
+    return D.detail_table(serving, YEAR, search=NAME_QUERY, index=index)
+
+
 # --- exploration -------------------------------------------------------------------------
 def _exploration(spark, sf_dir) -> DataFrame:
     return X.exploration_panel(S.stored_panel(spark, sf_dir))
@@ -689,6 +755,16 @@ def score_by_gdp_flag(spark, sf_dir):
     return X.score_by_wealth(_exploration(spark, sf_dir))
 
 
+@query
+def score_by_gdp_flag_dense(spark, sf_dir):
+    return X.score_by_wealth(_exploration(spark, sf_dir), empty=True)
+
+
+@query
+def score_by_size_gdp_flag_dense(spark, sf_dir):
+    return X.score_by_size_and_wealth(_exploration(spark, sf_dir), empty=True)
+
+
 @query
 def score_by_gdp_flag_long(spark, sf_dir):
     return X.score_by_wealth_long(X.score_by_wealth(_exploration(spark, sf_dir)))
