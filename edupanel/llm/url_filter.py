@@ -15,6 +15,7 @@ RULES = (
 )
 ORDER = 5
 SAMPLE = 20_000
+BYTES_AT_ONCE = 200_000
 _PAD = 2
 
 
@@ -52,6 +53,18 @@ def _grams(urls: Sequence[bytes], order: int) -> tuple[list[np.ndarray], np.ndar
     return grams, owner
 
 
+def _piece(url: bytes, start: int, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """``_grams`` at BYTES_AT_ONCE places of one URL from ``start`` on, which the bytes before stand behind."""
+    ended = bytes([_PAD]) * order + url + b"\x03"
+    flat = np.frombuffer(ended[start:start + order + BYTES_AT_ONCE], dtype=np.uint8).astype(np.uint64)
+    place = np.arange(order, len(flat))
+    grams, value = [], np.zeros(len(place), dtype=np.uint64)
+    for n in range(order + 1):
+        value = value | (flat[place - n] << np.uint64(8 * n))
+        grams.append(value)
+    return grams, np.zeros(len(place), dtype=np.int64)
+
+
 @dataclass
 class MarkovModel:
     """Variable-order character model: each order backs off to the next shorter one.
@@ -103,13 +116,28 @@ class RatioModel:
     def ratio(self, urls: Sequence[bytes]) -> np.ndarray:
         if not urls or self.accepted is None or self.rejected is None:
             return np.zeros(len(urls))
-        out = []
-        for i in range(0, len(urls), 2000):
-            part = urls[i:i + 2000]
-            grams, owner = _grams(part, self.accepted.order)
+        gaps, lengths = np.zeros(len(urls)), np.array([len(u) + 1 for u in urls])
+        # about 100 bytes of arrays a character, so URLs are taken by their characters, long ones in pieces
+        pieces = [(i, start) for i, n in enumerate(lengths.tolist()) for start in range(0, n, BYTES_AT_ONCE)]
+        first = 0
+        while first < len(pieces):
+            last, size = first, 0
+            while last < len(pieces) and (last == first or size + min(BYTES_AT_ONCE, lengths[pieces[last][0]]) <= BYTES_AT_ONCE):
+                size += min(BYTES_AT_ONCE, lengths[pieces[last][0]])
+                last += 1
+            part = pieces[first:last]
+            order = self.accepted.order
+            whole = [urls[i] if lengths[i] <= BYTES_AT_ONCE else None for i, _ in part]
+            if None in whole:
+                grams, owner = _piece(urls[part[0][0]], part[0][1], order)
+                part = part[:1]
+                last = first + 1
+            else:
+                grams, owner = _grams(whole, order)
             gap = self.rejected.log_prob(grams) - self.accepted.log_prob(grams)
-            out.append(np.bincount(owner, gap, len(part)) / np.bincount(owner, minlength=len(part)))
-        return np.concatenate(out)
+            np.add.at(gaps, [i for i, _ in part], np.bincount(owner, gap, len(part)))
+            first = last
+        return gaps / lengths
 
     def reject_probability(self, urls: Sequence[bytes]) -> np.ndarray:
         if self.accepted is None or self.rejected is None:
