@@ -18,6 +18,7 @@ CURRICULUM = (
     ((0.0, 1.5), (1.0, 0.5)),
 )
 MAX_REPEATS = 3
+SALTS = 64
 
 
 def word_count(text: str) -> Column:
@@ -83,7 +84,8 @@ def mix(
 
     Within a source documents stand in the order of the MD5 of their id. A source's target is
     taken from the start of that order, again and again. The words before a document are a sum
-    over three levels of buckets (leading MD5 digits), so no task gets a whole source. The share
+    over three levels of buckets (leading MD5 digits), so no task gets a whole source; rows of one id are counted by size and salt,
+    so neither does one get all rows of an id. The share
     of the source's target that lies before a document, put into the inverse of the source's
     integrated weight course, is its training position (0 to 1); the result is range-sorted by it.
 
@@ -152,7 +154,16 @@ def _placed(docs, id_col, text_col, source_col, weights, curriculum, max_repeats
         return left.join(right, on).drop(*[f"_{k}" for k in keys])
 
     starts = meet(meet(low, high, "source", "high"), goal, "source")
-    inside = rows.withColumn("inside", before(["source", "high", "low"], ["key", "doc_id", "size", "row"]))
+    # rows that share id and size are counted by salt; of those in one place only the row number is sought
+    same = ["source", "high", "low", "key", "doc_id", "size"]
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
+    alike = salted.groupBy(*same, "salt").agg((F.count("*") * F.col("size")).alias("words"))
+    earlier = Window.partitionBy("source", "high", "low").orderBy("key", "doc_id", "size", "salt").rowsBetween(
+        Window.unboundedPreceding, -1)
+    alike = alike.withColumn("ahead", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words")
+    nth = F.row_number().over(Window.partitionBy(*same, "salt").orderBy("row")) - 1
+    numbered_rows = salted.withColumn("nth", nth)
+    inside = meet(numbered_rows, alike, *same, "salt").withColumn("inside", F.col("ahead") + F.col("nth") * F.col("size"))
     placed = meet(inside, starts, "source", "high", "low").withColumn(
         "start", F.col("above") + F.col("beside") + F.col("inside"))
     quota = F.floor("target")
