@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import text_of
 
 MIN_SITES = 10
 LG_K = 10
+SALTS = 16
+
+
+def _meet(lines: DataFrame, wanted: DataFrame, spread_by: Column) -> DataFrame:
+    """``lines`` whose line is in ``wanted``, which holds each once: every such line meets its rows in SALTS places."""
+    salted = lines.withColumn("_salt", F.pmod(spread_by, F.lit(SALTS)).cast("int"))
+    copies = wanted.select("line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    return salted.join(copies, ["line", "_salt"]).drop("_salt")
 
 
 def spread_lines(
@@ -30,7 +38,7 @@ def spread_lines(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites")
     ).where(F.col("sites") >= min_sites - margin)
     near = counted.where(F.col("sites") <= min_sites + margin).select("line")
-    exact = lines.join(near, "line", "left_semi").distinct().groupBy("line").agg(
+    exact = _meet(lines, near, F.xxhash64("site")).distinct().groupBy("line").agg(
         F.count("*").alias("sites")).where(F.col("sites") >= min_sites)
     return counted.where(F.col("sites") > min_sites + margin).union(exact)
 
@@ -43,7 +51,7 @@ def remove_lines(docs: DataFrame, spread: DataFrame, id_col: str = "doc_id", tex
         F.col("line").rlike(r"[^\x20\x09-\x0D]")
     ).select("doc_id", "check", "pos", F.unhex(F.md5(F.col("line").cast("binary"))).alias("line"))
     # text and id name a row: rows that repeat both lose the same lines
-    hits = lines.join(spread.select("line"), "line").groupBy("doc_id", "check").agg(
+    hits = _meet(lines, spread.select("line"), F.xxhash64("check", "pos")).groupBy("doc_id", "check").agg(
         F.sort_array(F.collect_set("pos")).alias("gone"))
     hits = hits.withColumnsRenamed({"doc_id": "_id", "check": "_check"})
     joined = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("check") == F.col("_check")), "left")
