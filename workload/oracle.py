@@ -484,13 +484,12 @@ ORACLE: dict[str, str] = {
 
 _WEALTH_AXIS = "(VALUES ('Baixo'), ('Médio-Baixo'), ('Médio-Alto'), ('Alto')) w(wealth)"
 _SIZE_AXIS = "(VALUES ('Pequeno'), ('Médio'), ('Grande'), ('Não definido')) z(size)"
-_BY_FLAG = ", ".join(
-    r(f"avg(ideb_nota) FILTER (tem_projeto_ia = '{flag}')", 2) + f' AS "{flag}"' for flag in ("Não", "Sim"))
-ORACLE["score_by_gdp_flag_dense"] = sql(f"""SELECT w.wealth AS categoria_pib, {_BY_FLAG}
-    FROM {_WEALTH_AXIS} LEFT JOIN explored ON categoria_pib = w.wealth GROUP BY 1""", "explored")
-ORACLE["score_by_size_gdp_flag_dense"] = sql(f"""SELECT z.size AS porte_municipio, w.wealth AS categoria_pib, {_BY_FLAG}
-    FROM {_SIZE_AXIS} CROSS JOIN {_WEALTH_AXIS} LEFT JOIN explored
-      ON categoria_pib = w.wealth AND porte_municipio = z.size GROUP BY 1, 2""", "explored")
+_ONE_DIGIT = ", ".join(r(f'"{flag}"', 1) + f' AS "{flag}"' for flag in ("Não", "Sim"))
+ORACLE["score_by_gdp_flag_dense"] = f"""SELECT w.wealth AS categoria_pib, {_ONE_DIGIT}
+    FROM {_WEALTH_AXIS} LEFT JOIN ({ORACLE["score_by_gdp_flag"]}) t ON t.categoria_pib = w.wealth"""
+ORACLE["score_by_size_gdp_flag_dense"] = f"""SELECT z.size AS porte_municipio, w.wealth AS categoria_pib, {_ONE_DIGIT}
+    FROM {_SIZE_AXIS} CROSS JOIN {_WEALTH_AXIS} LEFT JOIN ({ORACLE["score_by_size_gdp_flag"]}) t
+      ON t.categoria_pib = w.wealth AND t.porte_municipio = z.size"""
 # the same answers by another way
 ORACLE["build_panel_bucketed"] = ORACLE["build_panel"]
 ORACLE["detail_table_indexed"] = ORACLE["detail_table"]

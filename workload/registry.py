@@ -757,12 +757,13 @@ def score_by_gdp_flag(spark, sf_dir):
 
 @query
 def score_by_gdp_flag_dense(spark, sf_dir):
-    return X.score_by_wealth(_exploration(spark, sf_dir), empty=True)
+    # one digit less than shown, as the last one may depend on the order of addition
+    return rounded(X.score_by_wealth(_exploration(spark, sf_dir), empty=True), *C.PRESENCE_LABELS, digits=1)
 
 
 @query
 def score_by_size_gdp_flag_dense(spark, sf_dir):
-    return X.score_by_size_and_wealth(_exploration(spark, sf_dir), empty=True)
+    return rounded(X.score_by_size_and_wealth(_exploration(spark, sf_dir), empty=True), *C.PRESENCE_LABELS, digits=1)
 
 
 @query
