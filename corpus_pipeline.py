@@ -2,22 +2,49 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from edupanel.llm import crf_quality, exact_dedup, mixing, ngram_join, packing
 from edupanel.llm.common import numbered
 from edupanel.llm.queries import tokenizer_file
-from edupanel.session import new_path
+from edupanel.session import drop_paths, new_path, staged_paths
 
 #: The fitted models and tokenisation have no SQL; tests compare all stages with plain Python.
 ORACLE_SQL = None
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_staged: list[str] = []
+
+
+def _lean(function: Stage) -> Stage:
+    """A stage that begins by deleting what the stage before has staged, unless its ``docs`` still read from there.
+
+    A stage's result is lazy, so its staged tables are needed until the result is written, which it is when the next stage begins.
+    """
+
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles() if _staged else []
+        drop_paths(spark, [path for path in _staged if not any(path in name for name in read)])
+        with staged_paths() as paths:
+            result = function(spark, docs, sf_dir)
+        _staged[:] = paths
+        return result
+
+    return run_stage
+
+
+@_lean
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text the line field does not reject."""
     return crf_quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_lean
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of equal texts, one with the smallest id."""
     rows = numbered(docs)
@@ -26,6 +53,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
+@_lean
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every component of near copies, one with the smallest id."""
     rows = numbered(docs)
@@ -37,11 +65,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
+@_lean
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row as often as the mix begins it, in training order."""
     return mixing.repeat(docs)
 
 
+@_lean
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of at most 2048 tokens."""
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))

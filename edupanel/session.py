@@ -66,7 +66,7 @@ def staged_paths() -> Iterator[list[str]]:
         _collecting.remove(paths)
 
 
-def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: str | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back.
 
     Cuts the lineage like a checkpoint, survives lost executors, and unlike a checkpoint
@@ -79,7 +79,7 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
         # many tasks per value: adaptive execution splits a large value and merges small ones
         df = df.hint("rebalance", partition_by)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    writer.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
