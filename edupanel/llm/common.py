@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
-from edupanel.session import stage
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+
+from edupanel.session import drop_staged, stage
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,9 +24,31 @@ def numbered(docs: DataFrame) -> DataFrame:
     """Whole rows as ``doc`` with a number ``row``, written once.
 
     The number depends on how Spark cuts the files, which can change between two reads, for one when executors
-    come or go. All who join by it must read this one table, which holds it.
+    come or go. All who join by it must read this one table, which holds it. It is packed tightly, as it is as large as
+    the input.
     """
-    return stage(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"))
+    return stage(rows, "numbered", compression="zstd")
+
+
+def tidied(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` over a task's batches, at the end of which the worker gives back the memory that it has freed.
+
+    Spark keeps workers for later stages, where what they hold on to is missing.
+    """
+
+    @functools.wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+            if trim:
+                trim(0)
+
+    return run
 
 
 def text_of(column: str | Column) -> Column:
@@ -47,9 +75,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     cost one round. Links of a node with itself and null nodes are ignored.
     """
     low, high = F.least(a, b).alias("v"), F.greatest(a, b).alias("u")
-    edges = links.where(F.col(a) != F.col(b)).select(high, low).distinct()
-    edges = stage(edges, "links")
-    sums = _state(edges)
+    edges, sums = _stored(links.where(F.col(a) != F.col(b)).select(high, low).distinct())
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -57,15 +83,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stage(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
-        now = _state(edges)
-        if now == sums:
+        before, was = edges, sums
+        edges, sums = _stored(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        drop_staged(before)
+        if sums == was:
             break
-        sums = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
-def _state(edges: DataFrame):
-    hashed = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count("*"), hashed).first())
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links in the shared folder, with their number and a sum of hashes observed while they are written."""
+    watch = Observation()
+    hashed = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hashed")
+    stored = stage(edges.observe(watch, F.count(F.lit(1)).alias("n"), hashed), "links")
+    return stored, (watch.get["n"], watch.get["hashed"])

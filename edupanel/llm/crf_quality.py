@@ -10,12 +10,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import fold_of, text_of
+from .common import fold_of, text_of, tidied
 
 SAMPLE_DOCS = 1_000
 SAMPLE_LINES = 400
+SAMPLE_TOTAL = 50_000
 STEPS = 120
 THRESHOLD = 0.3
 
@@ -135,40 +136,50 @@ def _chains(emissions: Sequence[np.ndarray], moves: np.ndarray) -> tuple[list[np
     return out, expected
 
 
+def gradient_of(flat: np.ndarray, lengths: np.ndarray, y: np.ndarray, params: np.ndarray) -> np.ndarray:
+    """How the loss rises with the weights and the two stays.
+
+    Of the weights that is the chains' negative log likelihood divided by their lines, each class weighing a half; of the
+    stays a quarter of each class's negative log likelihood divided by its moves.
+    """
+    weights, moves = params[:-2], np.diag(params[-2:])
+    ends = np.cumsum(lengths)
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    share = np.where(y > 0, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))
+    good = flat @ weights
+    emissions = np.split(np.stack([np.zeros(len(good)), good], axis=1), ends[:-1])
+    line_gap, stay = np.zeros(len(flat)), np.zeros(2)
+    for label in (0, 1):
+        own = np.flatnonzero(y == label)
+        if not len(own):
+            continue
+        marginals, expected = _chains([emissions[i] for i in own], moves)
+        for i, p in zip(own, marginals):
+            line_gap[ends[i] - lengths[i]:ends[i]] = p
+        moved = max(1, int((lengths[own] - 1).sum()))
+        # a class of single lines has no moves to learn from
+        stay += np.diag(expected) / moved - (np.arange(2) == label)
+    return np.concatenate([flat.T @ ((line_gap - y[doc]) * (share / lengths)[doc]), 0.25 * stay])
+
+
 def fit(chains: Sequence[np.ndarray], labels: Sequence[int], steps: int = STEPS, ridge: float = 1e-2) -> LineCrf:
     """Maximise the likelihood of the labels; all lines of a document have its label.
 
     A document counts as much as one of its lines would on average, so long documents don't
     drown the short ones; both classes weigh the same. Adam on the whole sample.
     """
-    every = np.vstack(chains)
-    mean, scale = every.mean(axis=0), every.std(axis=0) + 1e-6
+    lengths = np.array([len(c) for c in chains])
+    flat = np.vstack(chains).astype(float, copy=False)  # the one copy of all lines, scaled in place
+    mean, scale = flat.mean(axis=0), flat.std(axis=0) + 1e-6
     mean[0], scale[0] = 0.0, 1.0
-    x = [(c - mean) / scale for c in chains]
-    flat = np.vstack(x)
+    flat -= mean
+    flat /= scale
     y = np.array(labels, dtype=float)
-    lengths = np.array([len(c) for c in x])
-    doc = np.repeat(np.arange(len(x)), lengths)
-    share = np.where(y > 0, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))
-    weights, moves = np.zeros(flat.shape[1]), np.zeros((2, 2))
-    params = np.zeros(len(weights) + 2)  # the two stays; the two changes are fixed at 0
+    params = np.zeros(flat.shape[1] + 2)  # the two stays; the two changes are fixed at 0
+    weights, moves = params[:-2], np.zeros((2, 2))
     m, v = np.zeros_like(params), np.zeros_like(params)
-    by_label = [np.flatnonzero(y == k) for k in (0, 1)]
     for step in range(1, steps + 1):
-        good = flat @ weights
-        emissions = np.split(np.stack([np.zeros(len(good)), good], axis=1), np.cumsum(lengths)[:-1])
-        line_gap = np.zeros(len(flat))
-        stay = np.zeros(2)
-        for label, own in enumerate(by_label):
-            if not len(own):
-                continue
-            marginals, expected = _chains([emissions[i] for i in own], moves)
-            for i, p in zip(own, marginals):
-                line_gap[np.cumsum(lengths)[i] - lengths[i]:np.cumsum(lengths)[i]] = p
-            moved = max(1, int((lengths[own] - 1).sum()))
-            stay += np.diag(expected) / moved - (np.arange(2) == label)
-        gradient = np.concatenate([flat.T @ ((line_gap - y[doc]) * (share / lengths)[doc]), 0.25 * stay])
-        gradient += ridge * params / 10
+        gradient = gradient_of(flat, lengths, y, params) + ridge * params / 10
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient ** 2
         params = params - 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-9)
         params[-2:] = np.clip(params[-2:], 0.0, 2.0)
@@ -178,13 +189,15 @@ def fit(chains: Sequence[np.ndarray], labels: Sequence[int], steps: int = STEPS,
 
 def train(
     docs: DataFrame, marks: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES,
+    sample_total: int = SAMPLE_TOTAL,
 ) -> LineCrf | None:
     """Fit on texts (id, text) of ``sample_docs`` marked ids (id, label) of each label, in the order of a hash.
 
     Documents of over ``sample_lines`` lines don't train and are left out before ids are drawn. At most twice
     ``sample_docs`` ids are broadcast to pick the texts, and of the rows that repeat an id one trains, that
-    with the smallest hash of its text: both bounds together bound the driver's share. Features are
-    computed on the executors. None without rows, so also where all marked documents are longer.
+    with the smallest hash of its text. Of each label the first documents train that have ``sample_total`` lines
+    together, which bounds the driver's share. Features are computed on the executors. None without rows, so
+    also where all marked documents are longer.
     """
     short = docs.where(F.regexp_count("text", F.lit("\n")) < sample_lines)
     there = marks.join(short.select("id").distinct(), "id")
@@ -193,6 +206,10 @@ def train(
     first = F.min(F.struct(F.xxhash64("text"), "text")).alias("first")
     picked = short.join(F.broadcast(drawn[0].union(drawn[1])), "id").groupBy("label", "id").agg(first).select(
         "label", "id", "first.text")
+    # of at most sample_docs rows a label
+    so_far = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    lines = F.regexp_count("text", F.lit("\n")) + 1
+    picked = picked.withColumn("lines", F.sum(lines).over(so_far)).where(F.col("lines") <= sample_total)
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
@@ -204,7 +221,7 @@ def train(
         return None
     rows.sort(key=lambda r: (r.label, r.id, bytes(r.x)))
     width = len(features("")[0][0])
-    chains = [np.frombuffer(bytes(r.x), "<f4").reshape(-1, width).astype(float) for r in rows]
+    chains = [np.frombuffer(r.x, "<f4").reshape(-1, width) for r in rows]
     return fit(chains, [r.label for r in rows])
 
 
@@ -252,6 +269,7 @@ def learn(docs, labels, id_col, text_col, label_col, folds, held_out) -> LineCrf
 
 def _quality(model: LineCrf | None):
     @F.pandas_udf("double")
+    @tidied
     def quality(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield texts.map(model.quality if model else lambda _: 1.0).astype(float)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from edupanel.session import stage
 
-from .common import text_of
+from .common import text_of, tidied
 
 CAPACITY = 2048
 SALTS = 256
@@ -121,7 +121,7 @@ def token_pieces(
                 [pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "piece", "start", "length", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(encode, _SCHEMA)
+    return rows.mapInArrow(tidied(encode), _SCHEMA)
 
 
 class _Lengths:
@@ -264,20 +264,23 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS, salt_col: str | None = None) -> DataFrame:
     """Add sequence_id and offset to items with a ``length`` of 1 to ``capacity``.
 
     The lengths' table has at most ``capacity`` rows whatever the size of the data. The driver plans
     on it: first sets that dominate all others are fixed, then the rest is packed best fit, longest
     first. The plan says where the n-th item of a length goes; its size also depends on ``capacity``
     only, so it is broadcast. Items are numbered within a length by a sum over salts and a row
-    number within one salt, so a length that a third of all items share is no single group.
+    number within one salt, so a length that a third of all items share is no single group. The salt is a hash of the
+    item, or where equal items may be many the stored column ``salt_col``, which is left out of the result.
 
     All other columns are kept, and may not be named sequence_id or offset. Equal lengths are
     numbered in the order of the items' columns. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*pieces.columns), F.lit(salts)))
+    salt = F.col(salt_col) if salt_col else F.pmod(F.xxhash64(*pieces.columns), F.lit(salts))
+    salted = pieces.withColumn("_salt", salt)
+    pieces = pieces.drop(salt_col) if salt_col else pieces
     groups = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     counted = {int(r.length): int(r.n) for r in groups.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     if any(not 1 <= length <= capacity for length in counted):
@@ -308,4 +311,6 @@ def pack_documents(
     """
     pieces = token_pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id)
     pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(stage(pieces, "pieces"), capacity)
+    # by the row's number, which the file then holds, so that rows that repeat are dealt out too
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))
+    return pack(stage(pieces.withColumn("_dealt", dealt), "pieces"), capacity, salt_col="_dealt")
