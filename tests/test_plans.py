@@ -9,6 +9,7 @@ from edupanel import config as C
 from edupanel.operators import dedup_keep_first, replicate_forward
 from edupanel.plans import dashboard as D
 from edupanel.plans import panel as P
+from edupanel.session import staged_paths
 from workload import standin
 from workload.registry import QUERIES
 
@@ -41,6 +42,16 @@ def test_year_filter_prunes_folders(serving):
     assert "populacao" not in schema and "regiao" not in schema
 
 
+def test_serving_panel_is_no_second_copy(spark, monkeypatch):
+    panel = standin.stored_panel(spark, SF)
+    monkeypatch.setattr(standin, "_written", {k: v for k, v in standin._written.items() if k[0] != "serving"})
+    with staged_paths() as paths:
+        serving = standin.stored_serving(spark, SF)
+    assert not paths and set(serving.inputFiles()) == set(panel.inputFiles())
+    assert "Exchange" not in plan(serving)
+    assert standin.stored_serving(spark, SF) is serving  # the edges are found once
+
+
 def test_ranking_takes_the_top_rows_per_task(serving):
     assert "TakeOrderedAndProject" in plan(D.ranking(serving, 2001, D.SCORE))
 

@@ -261,7 +261,11 @@ def stored_panel(spark, sf_dir) -> DataFrame:
 
 
 def stored_serving(spark, sf_dir) -> DataFrame:
-    """The serving panel as a dashboard session holds it."""
-    return _once(
-        "serving", spark, sf_dir, lambda: panel.serving_panel(stored_panel(spark, sf_dir))
-    )
+    """The serving panel as a dashboard session holds it: quartile edges found once, over the stored panel.
+
+    What it adds to the panel is a plain expression per row, so no second copy of the panel is dealt out and written.
+    """
+    known = ("serving", spark.sparkContext.applicationId, sf_dir)
+    if known not in _written:
+        _written[known] = panel.serving_panel(stored_panel(spark, sf_dir))
+    return _written[known]
