@@ -25,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FORMAT = "offset_sheet"
 XLSX_BATCH_ROWS = 20_000
+#: What a task holds of its range of a CSV export at a time; only memory depends on it.
+BLOCK_BYTES = 1 << 20
 SHEET_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
@@ -144,9 +146,9 @@ class OffsetSheetReader(DataSourceReader):
         for first_row, columns in blocks:
             count = len(next(iter(columns.values())))
             extra = {
-                "_row": pa.array(range(first_row, first_row + count), pa.int64()),
-                "_source": pa.array([part.path] * count, pa.string()),
-                "_sheet": pa.array([part.sheet] * count, pa.string()),
+                "_row": pa.array(np.arange(first_row, first_row + count, dtype=np.int64)),
+                "_source": pa.repeat(pa.scalar(part.path, pa.string()), count),
+                "_sheet": pa.repeat(pa.scalar(part.sheet, pa.string()), count),
             }
             data = {**columns, **extra}
             yield pa.RecordBatch.from_arrays(
@@ -194,14 +196,23 @@ class OffsetSheetReader(DataSourceReader):
             f.seek(part.end - 1)
             end = part.end - 1 + len(_read_line(f))
             f.seek(start)
-            data = f.read(end - start)
+            # a row takes at least one byte, so the start of the range plus the number of the
+            # row in it grows along the whole file without counting the rows of other ranges
+            row = start
+            for block in _blocks(f, start, end, end - start if self.multiline else BLOCK_BYTES):
+                if not self.multiline:
+                    _check_lines(block, part.path)
+                for batch in self._parsed(block, header):
+                    yield row, {n: batch.column(n) for n in self.names}
+                    row += batch.num_rows
+
+    def _parsed(self, data: bytes, header: list[str]) -> Iterator[pa.RecordBatch]:
         if not data.strip():
             return
-        if not self.multiline:
-            _check_lines(data, part.path)
         batches = pacsv.open_csv(
             pa.BufferReader(data),
-            read_options=pacsv.ReadOptions(column_names=header, block_size=8 << 20),
+            # within a block all on this thread, nothing is read ahead
+            read_options=pacsv.ReadOptions(column_names=header, block_size=8 << 20, use_threads=False),
             parse_options=pacsv.ParseOptions(
                 delimiter=self.separator, newlines_in_values=self.multiline
             ),
@@ -211,13 +222,7 @@ class OffsetSheetReader(DataSourceReader):
                 strings_can_be_null=False,
             ),
         )
-        # a row takes at least one byte, so the start of the range plus the number of the
-        # row in it grows along the whole file without counting the rows of other ranges
-        row = start
-        for batch in batches:
-            if batch.num_rows:
-                yield row, {n: batch.column(n) for n in self.names}
-                row += batch.num_rows
+        yield from (batch for batch in batches if batch.num_rows)
 
     # --- workbooks ---------------------------------------------------------------------
     def _workbook(self, part: Part):
@@ -265,6 +270,19 @@ def _read_line(f) -> bytes:
     return line
 
 
+def _blocks(f, start: int, end: int, size: int) -> Iterator[bytes]:
+    """The bytes from ``start`` to ``end``, the end of a line, in pieces of about ``size`` that end with a line too."""
+    while start < end:
+        f.seek(start)
+        block = f.read(min(size, end - start))
+        if start + len(block) < end:
+            block += _read_line(f)
+        if not block:
+            return
+        start += len(block)
+        yield block
+
+
 def _text(element) -> str:
     return "".join(t.text or "" for t in element.iter(SHEET_NS + "t"))
 

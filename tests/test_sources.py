@@ -1,5 +1,7 @@
 import json
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from workload import workbooks
 from edupanel.session import new_path, shared_dir, stage
 from edupanel.sources import (
     census,
+    sheets,
     MissingColumnsError,
     MissingSourceError,
     read_geojson,
@@ -39,6 +42,34 @@ def test_csv_below_notes_in_many_ranges(spark, tmp_path):
     assert first._source.endswith("t.csv") and first._sheet is None
 
 
+def test_csv_range_is_held_in_blocks(tmp_path, monkeypatch):
+    path = tmp_path / "t.csv"
+    path.write_bytes(b"note\nid,v\n" + b"".join(b"%d,abcdefghijklmnopqrstuvwxyz\n" % n for n in range(400_000)))
+    names = ["id", "v", "_row", "_source", "_sheet"]
+    reader = sheets.OffsetSheetReader({"paths": json.dumps([str(path)]), "skiprows": "1"}, names)
+    [part] = reader.partitions()
+    tracemalloc.start()
+    try:
+        rows = sum(batch.num_rows for batch in reader.read(part))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 400_000 and peak < path.stat().st_size / 2
+    table = pa.Table.from_batches(reader.read(part))
+    assert table["id"].to_pylist() == [str(n) for n in range(400_000)]
+    at = table["_row"].to_pylist()
+    assert all(a < b for a, b in zip(at, at[1:]))
+    assert set(table["_source"].to_pylist()) == {str(path)} and table["_sheet"].null_count == rows
+
+    monkeypatch.setattr(sheets, "BLOCK_BYTES", 1)
+    small = tmp_path / "s.csv"
+    small.write_bytes(b"id,v\r\n1,\"a\"\"b\"\r\n\r\n\r\n2,\n,c")
+    reader = sheets.OffsetSheetReader({"paths": json.dumps([str(small)])}, ["id", "v"])
+    [part] = reader.partitions()
+    assert [tuple(r.values()) for b in reader._csv(part) for r in pa.RecordBatch.from_pydict(b[1]).to_pylist()] == [
+        ("1", 'a"b'), ("2", ""), ("", "c")]
+
+
 def test_csv_without_last_line_break_and_with_mark(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_bytes(b"\xef\xbb\xbfid;v\r\n1;\r\n2;b")
