@@ -101,6 +101,30 @@ def test_bm25(docs):
     assert sorted(r.rank for r in found if r.query_id == 1) == [1, 2]
 
 
+def test_bm25_in_blocks(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * j * j + j) % (5 + i % 40)}" for j in range(1 + i % 60)) for i in range(150)]
+    texts += texts[:20] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    asked = docs.selectExpr("doc_id as query", "text")
+    whole = sorted(map(tuple, bm25.search(docs, asked).collect()))
+    for name, value in {
+        "FREQUENT": 7, "BLOCK_DOCS": 4, "SHARD_DOCS": 13, "CHUNK_QUERIES": 3, "CHUNK_POSTINGS": 50, "CHUNK_CANDIDATES": 9, "SHARDS_A_FILE": 1,
+    }.items():
+        monkeypatch.setattr(bm25, name, value)
+    found = bm25.search(docs, asked, query_postings=500)
+    assert [r[:3] for r in sorted(map(tuple, found.collect()))] == [r[:3] for r in whole]
+    assert [r[3] for r in sorted(map(tuple, found.collect()))] == pytest.approx([r[3] for r in whole], rel=1e-12)
+
+
+def test_bm25_reads_its_index_as_it_lies(docs, monkeypatch):
+    searched = []
+    search_block = bm25._search_block
+    monkeypatch.setattr(bm25, "_search_block", lambda *args: searched.append(search_block(*args)) or searched[-1])
+    bm25.search(docs, docs.selectExpr("doc_id as query", "text"), query_postings=25_000)
+    assert len(searched) > 1
+    assert not [hits for hits, _ in searched if "Exchange" in hits._jdf.queryExecution().executedPlan().toString()]
+
+
 def test_urls_and_warc(spark):
     pages = [(1, "HTTPS://Blog.Example.ORG/en/1?q", "x" * 100), (2, "nothing", "x" * 100), (2, None, "x" * 100),
              (3, "http://a.net", "y"), (None, "", "x" * 100), (4, "://b.com/de/#f", None), (5, "u", "y")]
