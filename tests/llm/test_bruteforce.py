@@ -1,6 +1,7 @@
 """Operators without SQL against plain Python over whole test tables and small fixtures."""
 
 import math
+import random
 import re
 import struct
 import zlib
@@ -8,6 +9,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from edupanel.llm import lattice_lm as LM, ngram_join, queries as Q
@@ -102,6 +104,44 @@ def test_self_similar_texts_stay_apart(spark):
     assert [r.component_id for r in got if r.doc_id < 2 or r.doc_id > 5] == [r.doc_id for r in got if r.doc_id < 2 or r.doc_id > 5]
 
 
+def test_ngram_join_some_members_first(spark, monkeypatch):
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+
+    def edited(times):
+        text = list(base)
+        for _ in range(times):
+            text[draw.randrange(len(text))] = f"x{draw.randrange(10**9)}"
+        return " ".join(text)
+
+    texts = [edited(1) for _ in range(80)] + [edited(draw.choice([2, 3])) for _ in range(40)]
+    sets = {i: shingle_set(t) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    verified, compared = ngram_join._verified, []
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *args: compared.append(pairs.count()) or verified(pairs, *args))
+    monkeypatch.setattr(ngram_join, "GROUP_ROUNDS", 1)
+    monkeypatch.setattr(ngram_join, "LEADERS", ngram_join.LEADERS[:1])
+    pairs = {}
+    for many in (1 << 40, 8):
+        monkeypatch.setattr(ngram_join, "MANY", many)
+        monkeypatch.setattr(ngram_join, "FIRST", 6)
+        compared.clear()
+        got = {r.doc_id: r.component_id for r in ngram_join.ngram_join(docs).collect()}
+        assert got == components(sets)
+        pairs[many] = sum(compared)
+    assert pairs[8] < pairs[1 << 40]
+
+
+def test_repeated_tokens_across_batches():
+    tokens = [1, 2, 2, 3, 4, 4, 4, 5, 6, 6, 7]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(11), pa.int64()), pa.array(tokens, pa.int64())], ["row", "token"])
+    for cut in range(1, 12):
+        batches = [rows.slice(i, cut) for i in range(0, 11, cut)] + [rows.slice(0, 0)]
+        got = [t for b in ngram_join._repeated(iter(batches)) for t in b.column(1).to_pylist()]
+        assert got == [2, 2, 4, 4, 4, 6, 6]
+    assert not list(ngram_join._repeated(iter([])))
+
+
 @pytest.mark.parametrize("sf", BOTH)
 def test_bm25(spark, sf):
     docs = {i: Counter(words(t)) for i, t in rows_of(sf, "documents", "doc_id, text")}
