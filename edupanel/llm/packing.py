@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 import re
+import string
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from edupanel.session import stage
@@ -19,66 +22,92 @@ CAPACITY = 2048
 SALTS = 256
 CACHED_WORDS = 1_000_000
 SHORT = 7
-DOCS_AT_ONCE = 500
+BYTES_AT_ONCE = 8_000_000
 _SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
 
 class WordTokens:
-    """Token ids of words as little-endian 32-bit numbers; about CACHED_WORDS words are kept.
+    """Token ids of texts' words as little-endian 32-bit numbers; about CACHED_WORDS words are kept.
 
-    Words of Latin letters with end marks are tokenised many at a time, joined by spaces. Their letters
-    are one pre-token and their end marks another, and every pre-token ends with a token that ends a word,
-    which tells the words apart again. All other words are tokenised one by one.
+    The different words of some texts are looked up once. One of Latin letters with marks behind them is taken apart
+    into the letters, in lower case, and the marks, which are pre-tokens of their own. Letters are spelled as the
+    vocabulary's normaliser and pre-tokeniser spell each of them and go to its model, all else goes to the tokeniser as
+    a whole. For a vocabulary that does not spell or part them so, or whose added tokens could lie within, that is every word.
     """
 
-    plain = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]*)").fullmatch
-
     def __init__(self, path: str) -> None:
         # tasks already use all cores
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[list[str]]) -> list[bytes]:
-        """The ids of each list of words, one after the other."""
+        letters = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+        self.spelling = {ord(c): "".join(self._parts(c)) for c in letters}
+        spelled = letters.translate(self.spelling)
+        self.lower = spelled == letters.lower().translate(self.spelling)
+        # the two left out begin an elision or an added token
+        marks = "".join(c for c in string.punctuation if c not in "'<" and self._parts(letters + c) == [spelled, *self._parts(c)])
+        if self._parts(letters) != [spelled] or any("<" not in a.content for a in self.tokenizer.get_added_tokens_decoder().values()):
+            letters = marks = ""
+        self.letters, self.marks = letters, marks
+        self.plain = re.compile(f"[{letters}]+" if letters else "(?!)").fullmatch
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text."""
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        ends = np.cumsum(pc.list_value_length(words).to_numpy())
+        coded = words.flatten().dictionary_encode()
+        packed = self._of_words(coded.dictionary).take(coded.indices)
+        _, offsets, data = packed.buffers()
+        cuts = np.frombuffer(offsets, "<i8")[[0, *ends]].tolist()
+        held = memoryview(data) if data else b""
+        for start, end in zip(cuts, cuts[1:]):
+            yield bytes(held[start:end])
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        stems, marks = pc.utf8_rtrim(words, self.marks), pc.utf8_ltrim(words, self.letters)
+        apart = pc.equal(pc.add(pc.binary_length(stems), pc.binary_length(marks)), pc.binary_length(words))
+        stems = pc.if_else(apart, pc.utf8_lower(stems) if self.lower else stems, words)
+        marks = pc.if_else(apart, marks, "")
+        return pc.binary_join_element_wise(self._found(stems), self._found(marks), pa.scalar(b"", pa.large_binary()))
+
+    def _found(self, words: pa.Array) -> pa.Array:
+        coded = words.dictionary_encode()
+        ids = self.ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        return pa.array(ids, pa.large_binary()).take(coded.indices)
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, which holds no white space that the texts are split at."""
         known = self.known
-        new = set().union(*texts).difference(known)
+        new = [w for w in words if w not in known]
         if len(known) + len(new) > CACHED_WORDS:
             # short words come most often
             self.known = known = {w: ids for w, ids in known.items() if len(w) <= SHORT}
             if len(known) > CACHED_WORDS // 2:
                 known.clear()
-            new = set().union(*texts).difference(known)
-        easy, parts = [], []
-        for word in new:
-            if found := self.plain(word):
-                easy.append(word)
-                parts.append(2 if found[1] else 1)
-        for i in range(0, len(easy), 2000):
-            self._together(easy[i:i + 2000], parts[i:i + 2000])
-        self._singly([w for w in new if w not in known])
-        return [b"".join([known[w] for w in words]) for words in texts]
-
-    def _together(self, words: list[str], parts: list[int]) -> None:
-        (found,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4")
-        last = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)])
-        if len(last) == sum(parts):  # a vocabulary without word ends takes the other way
-            cuts = (last[np.cumsum(parts) - 1] + 1).tolist()
-            packed = ids.tobytes()
-            for word, start, end in zip(words, [0, *cuts], cuts):
-                self.known[word] = packed[4 * start:4 * end]
+            new = [w for w in words if w not in known]
+        plain = [w for w in new if self.plain(w)]
+        for word, spelled in zip(plain, " ".join(plain).translate(self.spelling).split(" ")):
+            known[word] = _packed([token.id for token in self.model.tokenize(spelled)])
+        self._singly([w for w in new if w not in known] if len(plain) < len(new) else [])
+        return [known[w] for w in words]
+
+    def _parts(self, text: str) -> list[str]:
+        normalizer, splitter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        text = normalizer.normalize_str(text) if normalizer else text
+        return [part for part, _ in splitter.pre_tokenize_str(text)] if splitter else [text]
 
     def _singly(self, words: list[str]) -> None:
         for i in range(0, len(words), 10_000):
             part = words[i:i + 10_000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+                self.known[word] = _packed(found.ids)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _tokens: dict[str, WordTokens] = {}
@@ -107,10 +136,11 @@ def token_pieces(
         end, step = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [])
-            for first in range(0, batch.num_rows, DOCS_AT_ONCE):
-                part = batch.slice(first, DOCS_AT_ONCE)
-                words = [t.replace("\n", " ").split(" ") for t in part.column(1).to_pylist()]
-                for doc_id, packed in zip(part.column(0).to_pylist(), tokens(words)):
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64)
+            cuts = (np.flatnonzero(np.diff(sizes // BYTES_AT_ONCE)) + 1).tolist()
+            for first, last in zip([0, *cuts], [*cuts, batch.num_rows]):
+                part = batch.slice(first, last - first)
+                for doc_id, packed in zip(part.column(0).to_pylist(), tokens(part.column(1))):
                     packed += end
                     for piece, start in enumerate(range(0, len(packed), step)):
                         ids = packed[start:start + step]

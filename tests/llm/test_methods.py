@@ -340,6 +340,70 @@ def test_lines_where_one_has_a_third_of_the_rows(spark):
         assert found[i].text == "\n".join(kept) and found[i].n_removed == len(text.split("\n")) - len(kept)
 
 
+def packed_ids(tokenizer, texts):
+    found = tokenizer.encode_batch(texts, add_special_tokens=False)
+    return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
+
+
+def test_packing_tokenises_letters_once_for_all_marks_and_cases():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from edupanel.llm import packing
+
+    path = Q.tokenizer_file("word_bpe_49k.json")
+    draw = random.Random(3)
+    stems = {"".join(draw.choices("abcdeéñö", k=draw.randint(4, 12))) for _ in range(300)}
+    forms = [f"{word}{marks}" for stem in stems for word in (stem, stem.title(), stem[0].upper() + stem[1:])
+             for marks in ("", ",", ".", "###", "&&&", "!?")]
+    tokens = packing.WordTokens(path)
+    assert list(tokens(pa.array(forms))) == packed_ids(Tokenizer.from_file(path), forms)
+    assert len(tokens.known) <= len(stems) + 6
+
+
+def test_packing_tokens_of_odd_words(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from edupanel.llm import packing
+
+    path = Q.tokenizer_file("word_bpe_49k.json")
+    draw = random.Random(4)
+    bits = [*"abAZéÉßÿÀ×÷ºªµİıΣσς'<|>!?.,;:-#$%&*()[]{}~`^_=+@/\\\"019", "\n", "\t", " ", "  ",
+            "\u00a0", "\u2003", "e\u0301", "=\u0338", "\u0301", "<|startoftext|>", "<|STARTOFTEXT|>", "<|endoftext|>",
+            "'s", "'LL", "</w>", "\ufb01", "日本", "\U0001f389", "\0", "\r\n", "\v"]
+    texts = ["", " "] + ["".join(draw.choices(bits, k=draw.randint(0, 25))) for _ in range(5000)]
+    expected = packed_ids(Tokenizer.from_file(path), texts)
+    tokens = packing.WordTokens(path)
+    assert list(tokens(pa.array(texts))) == expected
+    assert list(tokens(pa.array([], pa.string()))) == []
+    monkeypatch.setattr(packing, "CACHED_WORDS", 300)
+    tokens = packing.WordTokens(path)
+    assert [ids for i in range(0, len(texts), 50) for ids in tokens(pa.array(texts[i:i + 50]))] == expected
+
+
+def test_packing_with_other_vocabularies(tmp_path):
+    """With cases apart, with marks that stay with their letters, with an added token of letters, without a normaliser."""
+    import pyarrow as pa
+    from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
+
+    from edupanel.llm import packing
+
+    vocabulary = {c: i for i, c in enumerate([*"abAB!?é", "ab", "AB", "b!", "ab!"])}
+    merges = [("a", "b"), ("A", "B"), ("b", "!"), ("ab", "!")]
+    parted = pre_tokenizers.Split(Regex(r"[\p{L}]+|[^\s\p{L}]+"), "removed", invert=True)
+    texts = ["ab! AB!", "aB?ab", "ab", "!ab é! ?", "aab!!AB abab Ab"]
+    for i, (splitter, normalizer, added) in enumerate(itertools.product(
+            (parted, pre_tokenizers.WhitespaceSplit()), (None, normalizers.Lowercase()), ([], ["ab"]))):
+        tokenizer = Tokenizer(models.BPE(vocabulary, merges))
+        tokenizer.add_tokens(added)
+        tokenizer.pre_tokenizer = splitter
+        if normalizer:
+            tokenizer.normalizer = normalizer
+        tokenizer.save(str(tmp_path / f"{i}.json"))
+        assert list(packing.WordTokens(str(tmp_path / f"{i}.json"))(pa.array(texts))) == packed_ids(tokenizer, texts)
+
+
 def test_packing_where_one_row_comes_a_third_of_the_time(spark):
     from edupanel.llm import packing
 
